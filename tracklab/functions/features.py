@@ -34,7 +34,7 @@ def _square(column: Column) -> Column:
 
 
 def engineered() -> dict[str, Column]:
-    """The 27 derived features, in output order."""
+    """Name -> expression of the 27 derived features; null in gives null out, but for the flags."""
     not_acoustic = F.lit(1.0) - _x("acousticness")
     safe_energy = _x("energy") + F.lit(1e-6)
     loud = F.abs(_x("loudness"))
@@ -71,15 +71,16 @@ def engineered() -> dict[str, Column]:
 
 def feature_names() -> list[str]:
     """All 42 output names, originals first."""
-    return [*S.FEATURES, *engineered()]
+    return [*S.FEATURES, *S.ENGINEERED]
 
 
 def engineer(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns, the 15 inputs as doubles and the 27 derived features."""
+    derived = engineered()
     return df.select(
         *keep,
         *[_x(c).alias(c) for c in S.FEATURES],
-        *[column.alias(name) for name, column in engineered().items()],
+        *[derived[name].alias(name) for name in S.ENGINEERED],
     )
 
 

@@ -20,6 +20,17 @@ FEATURES = [
     "instrumentalness", "liveness", "valence", "tempo", "time_signature",
 ]
 
+# Derived columns, in output order after the model inputs.
+ENGINEERED = [
+    "log1p_speechiness", "log1p_acousticness", "log1p_instrumentalness", "log1p_liveness",
+    "duration_min", "log_duration_ms", "abs_loudness", "loudness_norm",
+    "energy_x_not_acoustic", "dance_x_energy", "valence_x_energy", "valence_x_dance",
+    "speech_x_not_acoustic", "instrumental_x_energy", "loudness_per_energy", "pop_x_dance",
+    "acoustic_x_valence", "tempo_sq", "popularity_sq", "energy_sq", "acousticness_sq",
+    "instrumentalness_sq", "tempo_norm", "tempo_slow", "tempo_fast", "key_x_mode",
+    "liveness_ratio",
+]
+
 # Features whose values are codes rather than measurements.
 DISCRETE_FEATURES = ["explicit", "key", "mode", "time_signature"]
 
