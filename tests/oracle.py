@@ -75,7 +75,7 @@ def main() -> None:
     sf_dir = f"{TESTDATA}/sf{args.sf}"
     con = connect(sf_dir)
     bad = 0
-    for name in args.names or QUERIES:
+    for name in args.names or QUERIES:  # one line per query as it finishes
         start = time.perf_counter()
         try:
             problem = compare(spark, name, sf_dir, con)

@@ -86,6 +86,11 @@ def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     })
 
 
+def handle_row_cap(df: DataFrame, order: str, rows: int | None = None) -> DataFrame:
+    """The first ``rows`` rows in ``order`` for an interactive upload; no cap unless asked for."""
+    return df if rows is None else df.orderBy(order).limit(rows)
+
+
 def domain_violations(df: DataFrame) -> DataFrame:
     """(feature, below, above) counts against the documented feature ranges, one pass."""
     df = cast_bool(df)

@@ -33,7 +33,8 @@ def label_decoder(labels: list[str]) -> IndexToString:
     return IndexToString(inputCol="prediction", outputCol="predicted_genre", labels=labels)
 
 
-def candidate_models(rows: int, classes: int, width: int = WIDTH, rounds: int = 200) -> dict[str, Estimator]:
+def candidate_models(rows: int, classes: int, width: int = WIDTH, rounds: int = 200,
+                     svm_steps: int = 2000) -> dict[str, Estimator]:
     """The six compared classifiers for ``rows`` training rows and ``classes`` classes.
 
     The penalty of the linear models is given per row here, hence 1 / rows.
@@ -41,14 +42,16 @@ def candidate_models(rows: int, classes: int, width: int = WIDTH, rounds: int =
     per_row = 1.0 / rows
     return {
         "Logistic Regression": LogisticRegression(
-            family="multinomial", maxIter=500, regParam=per_row, elasticNetParam=0.0, standardization=False),
+            family="multinomial", maxIter=500, regParam=per_row, elasticNetParam=0.0, standardization=False,
+            tol=1e-4),
         "Random Forest": RandomForestClassifier(
             numTrees=100, featureSubsetStrategy="sqrt", maxDepth=DEEPEST_TREE, seed=S.SEED,
             maxMemoryInMB=1024),
         "SVM": OneVsRest(
-            classifier=LinearSVC(maxIter=2000, regParam=per_row, standardization=False), parallelism=classes),
+            classifier=LinearSVC(maxIter=svm_steps, regParam=per_row, standardization=False, tol=1e-4),
+            parallelism=classes),
         "KNN": KnnClassifier(k=7),
-        "MLP": MultilayerPerceptronClassifier(layers=[width, 128, 64, classes], maxIter=200, seed=S.SEED),
+        "MLP": MultilayerPerceptronClassifier(layers=[width, 128, 64, classes], maxIter=200, tol=1e-4, seed=S.SEED),
         "Gradient Boosting": OneVsRestGBT(maxIter=rounds),
     }
 

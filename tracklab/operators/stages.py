@@ -82,17 +82,21 @@ class PopStdScaler(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "PopStdScalerModel":
+        # Plain sums in two passes: they fit generated code for any number of columns,
+        # and squares are taken around the mean, so they do not cancel.
         columns = self.getInputCols()
-        row = dataset.agg(*[
+        span = range(len(columns))
+        first = dataset.agg(*[
             f(F.col(c)).alias(f"{k}{i}") for i, c in enumerate(columns)
-            for k, f in (("m", F.avg), ("s", F.stddev_pop), ("lo", F.min), ("hi", F.max))
+            for k, f in (("n", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))
         ]).first()
-        span = range(len(columns))
-        return PopStdScalerModel(
-            inputCols=columns, outputCols=self.getOutputCols(),
-            means=[row[f"m{i}"] or 0.0 for i in span],
-            stds=[row[f"s{i}"] if row[f"s{i}"] and row[f"lo{i}"] < row[f"hi{i}"] else 1.0 for i in span],
-        )
+        means = [first[f"m{i}"] or 0.0 for i in span]
+        second = dataset.agg(*[
+            F.sum((F.col(c) - means[i]) * (F.col(c) - means[i])).alias(f"q{i}") for i, c in enumerate(columns)
+        ]).first()
+        varying = [first[f"n{i}"] > 0 and first[f"lo{i}"] < first[f"hi{i}"] for i in span]
+        stds = [(second[f"q{i}"] / first[f"n{i}"]) ** 0.5 if varying[i] else 1.0 for i in span]
+        return PopStdScalerModel(inputCols=columns, outputCols=self.getOutputCols(), means=means, stds=stds)
 
 
 class PopStdScalerModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):

@@ -7,6 +7,7 @@ import random
 import time
 from collections.abc import Callable, Sequence
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark import StorageLevel
@@ -20,6 +21,9 @@ from tracklab.operators.models import boosting_from, forest_from, perceptron_fro
 from tracklab.operators.profile import running_best
 from tracklab.operators.small import literal_table
 
+# Fits running side by side.
+PARALLELISM = 8
+
 # Parameters kept constant during the grid search.
 GRID_FIXED = {
     "Boosting": {"n_estimators": 100, "min_child_samples": 20, "colsample_bytree": 0.8,
@@ -63,32 +67,54 @@ def _builder(family: str, classes: int, width: int) -> Callable[[dict], Estimato
     }[family]
 
 
-def _keep(df: DataFrame) -> DataFrame:
-    """The fold table is read by every fit: keep label, features and fold."""
-    return df.select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+def _keep(df: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
+    """The fold table is read by every fit: label, features and fold, in tasks worth starting.
 
+    Iterative solvers run one job per step, so a small sample is faster in few tasks.
+    """
+    table = df.select("features", "label", "fold")
+    tasks = max(1, math.ceil(df.count() / rows_per_task))
+    if tasks < df.sparkSession.sparkContext.defaultParallelism:
+        table = table.coalesce(tasks)
+    return table.persist(StorageLevel.MEMORY_AND_DISK)
 
-def fold_scores(estimator: Estimator, df: DataFrame, folds: int = S.CV_FOLDS) -> tuple[float, float]:
-    """Mean accuracy and weighted F1 over the folds, each from one confusion aggregate."""
-    scores = []
-    for j in range(folds):
-        model = estimator.fit(df.filter(F.col("fold") != j))
-        scored = model.transform(df.filter(F.col("fold") == j))
-        row = metric_row(confusion(scored, "label", "prediction")).first()
-        scores.append((row["accuracy"], row["weighted_f1"]))
-    return tuple(sum(s) / folds for s in zip(*scores))
 
+def _fold_score(estimator: Estimator, table: DataFrame, fold: int) -> tuple[float, float, float]:
+    """Accuracy, weighted F1 and seconds of one fold, from one confusion aggregate."""
+    start = time.perf_counter()
+    model = estimator.fit(table.filter(F.col("fold") != fold))
+    scored = model.transform(table.filter(F.col("fold") == fold))
+    row = metric_row(confusion(scored, "label", "prediction")).first()
+    return row["accuracy"], row["weighted_f1"], time.perf_counter() - start
 
-def compare_models(models: dict[str, Estimator], df: DataFrame, folds: int = S.CV_FOLDS) -> DataFrame:
-    """(model, mean_cv_accuracy, mean_f1_weighted, train_time_s), best F1 first."""
-    table, rows = _keep(df), []
+
+def cross_validate(estimators: Sequence[Estimator], df: DataFrame, folds: int = S.CV_FOLDS,
+                   parallelism: int = PARALLELISM) -> list[tuple[float, float, float]]:
+    """Mean accuracy, mean weighted F1 and total seconds per estimator.
+
+    Fits of different estimators and folds are independent jobs and run side by side.
+    """
+    table = _keep(df)
+    work = [(e, table, j) for e in estimators for j in range(folds)]
     try:
-        for name, estimator in models.items():
-            start = time.perf_counter()
-            accuracy, f1 = fold_scores(estimator, table, folds)
-            rows.append((name, round(accuracy, 4), round(f1, 4), round(time.perf_counter() - start, 2)))
+        table.count()
+        with ThreadPool(parallelism) as pool:
+            scores = pool.starmap(_fold_score, work, chunksize=1)
     finally:
         table.unpersist()
+    results = []
+    for i in range(len(estimators)):
+        accuracy, f1, seconds = zip(*scores[i * folds:(i + 1) * folds])
+        results.append((sum(accuracy) / folds, sum(f1) / folds, sum(seconds)))
+    return results
+
+
+def compare_models(models: dict[str, Estimator], df: DataFrame, folds: int = S.CV_FOLDS,
+                   parallelism: int = PARALLELISM) -> DataFrame:
+    """(model, mean_cv_accuracy, mean_f1_weighted, train_time_s), best F1 first."""
+    scores = cross_validate(list(models.values()), df, folds, parallelism)
+    rows = [(name, round(accuracy, 4), round(f1, 4), round(seconds, 2))
+            for name, (accuracy, f1, seconds) in zip(models, scores)]
     return literal_table(
         df.sparkSession, rows,
         "model string, mean_cv_accuracy double, mean_f1_weighted double, train_time_s double",
@@ -102,11 +128,8 @@ def best_model(comparison: DataFrame) -> str:
 
 def _trials(df: DataFrame, build: Callable[[dict], Estimator], candidates: Sequence[dict[str, Any]],
             folds: int) -> list[tuple[dict, float]]:
-    table = _keep(df)
-    try:
-        return [(p, fold_scores(build(p), table, folds)[1]) for p in candidates]
-    finally:
-        table.unpersist()
+    scores = cross_validate([build(p) for p in candidates], df, folds)
+    return [(p, f1) for p, (_, f1, _) in zip(candidates, scores)]
 
 
 def grid_search(name: str, df: DataFrame, classes: int, width: int, folds: int = S.CV_FOLDS,

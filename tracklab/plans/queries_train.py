@@ -49,9 +49,9 @@ def _pipeline(spark, sf) -> PipelineModel:
 
 @query()
 def cv_comparison(spark, sf):
-    """All six candidates by 3-fold cross-validation; boosting with few rounds to keep the run short."""
+    """All six candidates by 3-fold cross-validation; few boosting rounds and SVM steps keep the run short."""
     rows = _search_rows(spark, sf)
-    candidates = models.candidate_models(rows.count(), len(S.CLASSES), rounds=10)
+    candidates = models.candidate_models(rows.count(), len(S.CLASSES), rounds=10, svm_steps=30)
     return tuning.compare_models(candidates, rows)
 
 
