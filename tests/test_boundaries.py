@@ -87,12 +87,20 @@ def test_ranged_quantiles_equal_percentile(spark, values):
     assert [r[3] for r in sorted(large)] == pytest.approx([r[3] for r in sorted(small)])
 
 
-def test_running_totals_and_max_over_many_ranges(spark):
+def test_literal_ranges(spark):
+    df = literal_table(spark, [(float(v),) for v in range(-2, 9)], "x double")
+    for edges in ([], [0.0], [0.0, 3.0, 3.0, 7.5]):
+        got = rows(df.select("x", O.literal_range_of(edges, F.col("x"))))
+        assert all(n == sum(e <= x for e in edges) for x, n in got)
+
+
+@pytest.mark.parametrize("rows_limit", [None, 0])
+def test_running_totals_and_max(spark, rows_limit):
     n = 3000
     df = spark.range(n).select(F.lit("k").alias("k"), F.col("id").alias("x"), (F.col("id") * 7919 % 101).alias("w"))
     w = [i * 7919 % 101 for i in range(n)]
-    total = {r["x"]: r["t"] for r in O.running_totals(df, ["k"], "x", {"t": "w"}).collect()}
-    best = {r["x"]: r["m"] for r in O.running_max(df, ["k"], "x", {"m": "w"}).collect()}
+    total = {r["x"]: r["t"] for r in O.running_totals(df, ["k"], "x", {"t": "w"}, plain_rows=rows_limit).collect()}
+    best = {r["x"]: r["m"] for r in O.running_max(df, ["k"], "x", {"m": "w"}, plain_rows=rows_limit).collect()}
     assert [total[i] for i in range(n)] == list(np.cumsum(w))
     assert [best[i] for i in range(n)] == list(np.maximum.accumulate(w))
 
@@ -247,10 +255,11 @@ def test_improvement_log_only_below_target(spark):
     assert rows(E.improvement_log(good)) == []
 
 
-def test_auc_ties_equal_scores_and_absent_class(spark):
+@pytest.mark.parametrize("plain_rows", [None, 0])
+def test_auc_ties_equal_scores_and_absent_class(spark, plain_rows):
     data = [("a", 0.9, 0.5), ("b", 0.9, 0.5), ("a", 0.4, 0.5), ("b", 0.1, 0.5)]
     df = literal_table(spark, data, "y_true string, p_a double, p_b double")
-    got = dict(rows(E.auc_per_class(df, {"a": "p_a", "b": "p_b", "z": "p_a"})))
+    got = dict(rows(E.auc_per_class(df, {"a": "p_a", "b": "p_b", "z": "p_a"}, plain_rows=plain_rows)))
     assert got == {"a": 0.625, "b": 0.5, "z": None}
     aucs = E.auc_per_class(df, {"a": "p_a", "z": "p_a"})
     assert E.macro_auc(aucs, ["a", "z"]).first()["macro_auc"] is None
@@ -327,14 +336,15 @@ def _brute_mi(values, labels, k=3):
 
 
 @pytest.mark.parametrize("ties", [False, True])
-def test_knn_mi_equals_brute_force(spark, ties):
+@pytest.mark.parametrize("plain_rows", [None, 0])
+def test_knn_mi_equals_brute_force(spark, ties, plain_rows):
     rng = np.random.default_rng(7)
     labels = rng.choice(["a", "b", "c"], 600, p=[0.6, 0.3, 0.1]).tolist() + ["single", "p", "p"]
     values = rng.normal(size=603) + np.array([{"a": 0, "b": 1.5}.get(c, -1) for c in labels])
     if ties:
         values = np.floor(values * 8) / 8    # exact in binary, with many equal values
     df = literal_table(spark, list(zip(labels, values.tolist())), "g string, x double")
-    assert I.knn_mi(df, ["x"], "g").first()["mutual_info"] == pytest.approx(_brute_mi(values, labels), abs=1e-9)
+    assert I.knn_mi(df, ["x"], "g", plain_rows=plain_rows).first()["mutual_info"] == pytest.approx(_brute_mi(values, labels), abs=1e-9)
 
 
 def test_digamma(spark):

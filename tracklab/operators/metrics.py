@@ -144,14 +144,15 @@ def _score_counts(df, probabilities, truth):
     )
 
 
-def roc_points(df: DataFrame, probabilities: dict[str, str], truth: str = "y_true") -> DataFrame:
+def roc_points(df: DataFrame, probabilities: dict[str, str], truth: str = "y_true",
+               plain_rows: int | None = None) -> DataFrame:
     """(class, threshold, fpr, tpr) at every distinct score; threshold null at the origin."""
     counts = _score_counts(df, probabilities, truth).withColumn("_down", -F.col("score"))
     totals = checked_broadcast(
         counts.groupBy("class").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     )
     points = (
-        running_totals(counts, ["class"], "_down", {"_tp": "pos", "_fp": "neg"})
+        running_totals(counts, ["class"], "_down", {"_tp": "pos", "_fp": "neg"}, plain_rows)
         .join(totals, "class")
         .select("class", F.col("score").alias("threshold"),
                 div(F.col("_fp"), F.col("_n")).alias("fpr"), div(F.col("_tp"), F.col("_p")).alias("tpr"))
@@ -161,10 +162,11 @@ def roc_points(df: DataFrame, probabilities: dict[str, str], truth: str = "y_tru
     return origin.unionByName(points)
 
 
-def auc_per_class(df: DataFrame, probabilities: dict[str, str], truth: str = "y_true") -> DataFrame:
+def auc_per_class(df: DataFrame, probabilities: dict[str, str], truth: str = "y_true",
+                  plain_rows: int | None = None) -> DataFrame:
     """(class, auc): the share of (positive, negative) pairs ranked right, ties half."""
     counts = _score_counts(df, probabilities, truth)
-    ranked = running_totals(counts, ["class"], "score", {"_upto": "neg"})
+    ranked = running_totals(counts, ["class"], "score", {"_upto": "neg"}, plain_rows)
     below = F.col("_upto") - F.col("neg") / 2
     sums = ranked.groupBy("class").agg(
         F.sum(F.col("pos") * below).alias("_wins"),

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tracklab.operators.ordered import quantiles, range_of, splitters, with_range
+from tracklab.operators import ordered
+from tracklab.operators.ordered import literal_range_of, quantiles, splitters, with_range
 from tracklab.operators.small import checked_broadcast, melt, small_rows
 from tracklab.sources.staging import stage
 
@@ -58,27 +59,27 @@ def binned_mi(df: DataFrame, columns: Sequence[str], label: str, bins: int = 16)
     )
     cuts = {r["feature"]: r["edges"] for r in small_rows(edges)}
     binned = df.select(F.col(label), *[
-        F.when(F.col(c).isNotNull(), range_of(
-            F.array(*[F.lit(e) for e in cuts.get(c, [])]).cast("array<double>"),
-            F.col(c).cast("double"), bins)).alias(c)
+        F.when(F.col(c).isNotNull(), literal_range_of(cuts.get(c, []), F.col(c).cast("double"))).alias(c)
         for c in columns
     ])
     return discrete_mi(binned, columns, label)
 
 
-def knn_mi(df: DataFrame, columns: Sequence[str], label: str, k: int = NEIGHBOURS) -> DataFrame:
+def knn_mi(df: DataFrame, columns: Sequence[str], label: str, k: int = NEIGHBOURS,
+           plain_rows: int | None = None) -> DataFrame:
     """(feature, mutual_info) in nats, nearest-neighbour estimate floored at 0."""
     counted = stage(
         _class_rows(df, columns, label).groupBy("feature", "_class", "value").agg(F.count("*").alias("_c")),
         "mi-points",
     )
+    plain = counted.count() <= (ordered.PLAIN_WINDOW_ROWS if plain_rows is None else plain_rows)
     sizes = counted.groupBy("feature", "_class").agg(F.sum("_c").alias("_size")).filter("_size > 1")
     sizes = checked_broadcast(sizes)
     points = counted.join(sizes, ["feature", "_class"]).withColumn(
         "_k", F.least(F.lit(k).cast("long"), F.col("_size") - 1)
     )
-    radii = stage(_radii(points, k), "mi-radii")
-    inside = _inside(radii)
+    radii = stage(_radii(points, k, plain), "mi-radii")
+    inside = _inside(radii, plain)
     weight = F.col("_c")
     total = F.sum(weight)
 
@@ -109,12 +110,12 @@ def _ranked(scores):
     return scores.orderBy(F.desc("mutual_info"), "feature")
 
 
-def _radii(points: DataFrame, k: int) -> DataFrame:
+def _radii(points: DataFrame, k: int, plain: bool) -> DataFrame:
     """Distance of every distinct (feature, class, value) to its k-th neighbour in the class."""
     keys = ["feature", "_class"]
     # More than k copies of a value are not needed: its radius is 0 already.
     copies = points.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("_c"), F.lit(k + 1)))))
-    ranged = with_range(copies, splitters(points, keys, "value"), keys, "value")
+    ranged = with_range(copies, None if plain else splitters(points, keys, "value"), keys, "value")
     group = W.partitionBy(*keys, "_range")
     order = [F.col("value"), F.col("_copy")]
     inside = group.orderBy(*order)
@@ -153,7 +154,7 @@ def _radii(points: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _inside(radii: DataFrame) -> DataFrame:
+def _inside(radii: DataFrame, plain: bool) -> DataFrame:
     """Adds ``_m``: points of any class strictly within the radius, ties counting as inside.
 
     Interval ends are merged with the points in value order; a running count at both
@@ -174,7 +175,7 @@ def _inside(radii: DataFrame) -> DataFrame:
     both = data.withColumn("_sign", F.lit(0)).unionByName(
         ends.withColumn("_w", F.lit(0).cast("long"))
     )
-    ranged = with_range(both, splitters(data, ["feature"], "_x"), ["feature"], "_x")
+    ranged = with_range(both, None if plain else splitters(data, ["feature"], "_x"), ["feature"], "_x")
     before = W.partitionBy("feature").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = checked_broadcast(
         ranged.groupBy("feature", "_range").agg(F.sum("_w").alias("_t"))

@@ -23,6 +23,8 @@ PERCENTILE_ROWS = 2_000_000
 # Rank error of a splitter is at most rows / SKETCH_ACCURACY.
 SKETCH_ACCURACY = 10_000
 RANGES = 256
+# Up to this many rows in all, a key is sorted as a whole.
+PLAIN_WINDOW_ROWS = 4_000_000
 
 
 def range_of(splits: Column, value: Column, max_splits: int = RANGES) -> Column:
@@ -35,6 +37,17 @@ def range_of(splits: Column, value: Column, max_splits: int = RANGES) -> Column:
     )
 
 
+def literal_range_of(edges: Sequence[float], value: Column) -> Column:
+    """``range_of`` for a few known edges: a balanced tree of comparisons in generated code."""
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= F.lit(edges[middle]), search(middle + 1, high)).otherwise(search(low, middle))
+
+    return search(0, len(edges))
+
+
 def splitters(df: DataFrame, keys: Sequence[str], order: str, ranges: int = RANGES) -> DataFrame:
     """One row per key with the array of values that cut its rows into even ranges."""
     probs = [i / ranges for i in range(1, ranges)]
@@ -46,9 +59,14 @@ def splitters(df: DataFrame, keys: Sequence[str], order: str, ranges: int = RANG
     )
 
 
-def with_range(df: DataFrame, splits: DataFrame, keys: Sequence[str], order: str,
+def with_range(df: DataFrame, splits: DataFrame | None, keys: Sequence[str], order: str,
                out: str = "_range") -> DataFrame:
-    """Tag rows with the range of their key they fall into; map-only for a small ``splits``."""
+    """Tag rows with the range of their key they fall into; map-only for a small ``splits``.
+
+    Without ``splits`` every key is one range.
+    """
+    if splits is None:
+        return df.withColumn(out, F.lit(0))
     return (
         df.join(splits, list(keys))
         .withColumn(out, range_of(F.col("_splits"), F.col(order)))
@@ -57,35 +75,38 @@ def with_range(df: DataFrame, splits: DataFrame, keys: Sequence[str], order: str
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: str, totals: dict[str, str],
-                   splits: DataFrame | None = None, range_col: str = "_range") -> DataFrame:
+                   plain_rows: int | None = None) -> DataFrame:
     """Exact running sums of ``totals`` (output name -> column) per key in ``order``.
 
     Rows should be unique in (keys, order): aggregate ties first, so that no single
-    value can fill a range.  ``df`` is read three times; pass a staged table.
+    value can fill a range.  ``df`` is read several times; pass a staged table.
     """
     return _running(df, keys, order, totals, F.sum,
-                    lambda own, earlier: own + F.coalesce(earlier, F.lit(0)), splits, range_col)
+                    lambda own, earlier: own + F.coalesce(earlier, F.lit(0)), plain_rows)
 
 
-def running_max(df: DataFrame, keys: Sequence[str], order: str, maxima: dict[str, str]) -> DataFrame:
+def running_max(df: DataFrame, keys: Sequence[str], order: str, maxima: dict[str, str],
+                plain_rows: int | None = None) -> DataFrame:
     """Exact running maximum of ``maxima`` (output name -> column) per key in ``order``."""
-    return _running(df, keys, order, maxima, F.max, F.greatest, None, "_range")
+    return _running(df, keys, order, maxima, F.max, F.greatest, plain_rows)
 
 
-def _running(df, keys, order, outputs, total, combine, splits, range_col):
+def _running(df, keys, order, outputs, total, combine, plain_rows):
     keys = list(keys)
-    if splits is None:
-        splits = splitters(df, keys, order)
-    ranged = with_range(df, splits, keys, order, range_col)
-    before = W.partitionBy(*keys).orderBy(range_col).rowsBetween(W.unboundedPreceding, -1)
+    upto = W.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    if df.count() <= (PLAIN_WINDOW_ROWS if plain_rows is None else plain_rows):
+        return df.select("*", *[
+            total(c).over(upto.partitionBy(*keys)).alias(out) for out, c in outputs.items()])
+    ranged = with_range(df, splitters(df, keys, order), keys, order)
+    before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = checked_broadcast(
-        ranged.groupBy(*keys, range_col)
+        ranged.groupBy(*keys, "_range")
         .agg(*[total(c).alias(f"_t_{out}") for out, c in outputs.items()])
-        .select(*keys, range_col, *[total(f"_t_{out}").over(before).alias(f"_o_{out}") for out in outputs])
+        .select(*keys, "_range", *[total(f"_t_{out}").over(before).alias(f"_o_{out}") for out in outputs])
     )
-    inside = W.partitionBy(*keys, range_col).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    return ranged.join(offsets, [*keys, range_col]).select(
-        *ranged.columns,
+    inside = upto.partitionBy(*keys, "_range")
+    return ranged.join(offsets, [*keys, "_range"]).select(
+        *df.columns,
         *[combine(total(c).over(inside), F.col(f"_o_{out}")).alias(out) for out, c in outputs.items()],
     )
 

@@ -343,10 +343,10 @@ def quality_checks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])))
 
 
-def running_best(trials: DataFrame, order: str, value: str) -> DataFrame:
+def running_best(trials: DataFrame, order: str, value: str, plain_rows: int | None = None) -> DataFrame:
     """Adds ``best`` = largest value so far in ``order`` (A29); ``order`` must be unique."""
     keyed = trials.withColumn("_all", F.lit(0))
-    return running_max(keyed, ["_all"], order, {"best": value}).drop("_all", "_range")
+    return running_max(keyed, ["_all"], order, {"best": value}, plain_rows).drop("_all")
 
 
 def boxplot(df: DataFrame, value: str, by: str, percentile_rows: int = PERCENTILE_ROWS) -> DataFrame:

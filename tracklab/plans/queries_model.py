@@ -18,6 +18,7 @@ from tracklab.plans.oracle_views import MAPPED, TAXONOMY, on_tracks, unpivot
 from tracklab.plans.registry import query, r6, rounded
 from tracklab.session import scratch_dir
 from tracklab.sources import files
+from tracklab.sources.staging import stage
 from tracklab.sources.tables import table, tracks
 
 # Expressions of the derived features, for the oracle.
@@ -159,7 +160,7 @@ _SCALED = [
 
 
 def _scaled(spark, sf):
-    split = _split(spark, sf)
+    split = stage(_split(spark, sf), "split-rows")
     fitted = preprocessor().fit(split.filter("split = 'train'"))
     return fitted.transform(split)
 
@@ -262,6 +263,13 @@ def mi_knn_events(spark, sf):
     return rounded(I.knn_mi(table(spark, sf, "events"), ["value"], "event_type"), ["mutual_info"])
 
 
+@query(on_tracks(_MI_OUT, *_knn_mi_sql(unpivot("tracks", ["loudness", "valence"], "signal_genre AS cls"))))
+def mi_knn_ranged(spark, sf):
+    """The same estimate by the path for features too large to sort in one task."""
+    scores = I.knn_mi(tracks(spark, sf, busy=True), ["loudness", "valence"], "signal_genre", plain_rows=0)
+    return rounded(scores, ["mutual_info"])
+
+
 _CLASS_SAMPLE = """picked AS (SELECT track_genre FROM (SELECT DISTINCT track_genre FROM tracks WHERE track_genre IS NOT NULL)
  ORDER BY md5(concat_ws('|', track_genre, '42')), track_genre LIMIT 10)"""
 
