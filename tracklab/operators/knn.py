@@ -66,8 +66,9 @@ def _small_side(train: DataFrame, broadcast_cells: int):
     """The training rows as an Arrow table if they fit the bound, else None."""
     head = train.select("x").first()
     limit = max(1, broadcast_cells // max(len(head["x"]) if head else 1, 1))
-    table = train.select("id", F.col("label").cast("double").alias("label"), "x").limit(limit + 1).toArrow()
-    return table if table.num_rows <= limit else None
+    if train.count() > limit:
+        return None
+    return train.select("id", F.col("label").cast("double").alias("label"), "x").toArrow()
 
 
 def _broadcast_vote(spark, table, k: int, leave_one_out: bool):

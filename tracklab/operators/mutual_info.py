@@ -17,7 +17,7 @@ from pyspark.sql.window import Window as W
 from tracklab.operators import ordered
 from tracklab.operators.ordered import literal_range_of, quantiles, splitters, with_range
 from tracklab.operators.small import checked_broadcast, melt, small_rows
-from tracklab.sources.staging import stage
+from tracklab.sources.staging import settle, stage
 
 NEIGHBOURS = 3
 EULER_GAMMA = 0.5772156649015329
@@ -39,7 +39,7 @@ def digamma(n: Column) -> Column:
 def discrete_mi(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """(feature, mutual_info) in nats from the table of value and class counts."""
     cells = _class_rows(df, columns, label)
-    joint = cells.groupBy("feature", "value", "_class").agg(F.count("*").alias("_xy"))
+    joint = settle(cells.groupBy("feature", "value", "_class").agg(F.count("*").alias("_xy")), "mi-counts")
     values = joint.groupBy("feature", "value").agg(F.sum("_xy").alias("_x"))
     classes = checked_broadcast(joint.groupBy("feature", "_class").agg(F.sum("_xy").alias("_y")))
     totals = checked_broadcast(joint.groupBy("feature").agg(F.sum("_xy").alias("_n")))

@@ -118,20 +118,19 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     Nulls are ignored.  Inputs of at most ``percentile_rows`` rows use the built-in
     ``percentile``; larger ones only ever sort the values around the wanted ranks.
     """
-    if df.limit(percentile_rows + 1).count() <= percentile_rows:
+    if df.count() <= percentile_rows:
         return _buffered_quantiles(df, columns, probs, list(by))
     return _ranged_quantiles(df, columns, probs, list(by))
 
 
 def _buffered_quantiles(df, columns, probs, by):
-    aggs = df.groupBy(*by).agg(*[
-        F.percentile(F.col(c).cast("double"), list(probs)).alias(c) for c in columns
-    ])
+    """One aggregation buffer per (group, feature), so features are finished in parallel."""
+    keys = [*by, "feature"]
+    values = melt(df, columns, keep=by).groupBy(*keys).agg(F.percentile("value", list(probs)).alias("_q"))
     rows = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(p).alias("prob"), F.get(c, F.lit(i)).alias("value"))
-        for c in columns for i, p in enumerate(probs)
+        F.struct(F.lit(float(p)).alias("prob"), F.get("_q", F.lit(i)).alias("value")) for i, p in enumerate(probs)
     ])
-    return aggs.select(*by, F.inline(rows))
+    return values.select(*keys, F.inline(rows))
 
 
 def _ranged_quantiles(df, columns, probs, by):

@@ -13,7 +13,8 @@ from pyspark.sql.window import Window as W
 from tracklab import schema as S
 from tracklab.operators.cleaning import numeric_columns
 from tracklab.operators.ordered import PERCENTILE_ROWS, quantiles, running_max
-from tracklab.operators.small import checked_broadcast, div, half_even, literal_table, melt
+from tracklab.operators.small import (checked_broadcast, column_ranges, column_sums, div, half_even, literal_table,
+                                      melt)
 
 
 def schema_report(df: DataFrame) -> DataFrame:
@@ -30,9 +31,11 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     """(label, count, percentage): nulls are not a label but are in the denominator."""
     grouped = df.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("count"))
     total = grouped.agg(F.sum("count")).scalar()
+    # Filtering on the share keeps the null group in the aggregate, so that total and
+    # rows come from one scan.
+    share = F.when(F.col("label").isNotNull(), half_even(div(F.col("count"), total) * 100, 2))
     return (
-        grouped.withColumn("percentage", half_even(div(F.col("count"), total) * 100, 2))
-        .filter(F.col("label").isNotNull())
+        grouped.withColumn("percentage", share).filter("percentage IS NOT NULL")
         .orderBy(F.desc("count"), "label")
     )
 
@@ -66,34 +69,18 @@ def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     )
 
 
-def _first_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
-    """Per column: count, mean, min, max in one pass, as driver numbers."""
-    aggs = [
-        f(F.col(c).cast("double")).alias(f"{c}__{name}")
-        for c in columns
-        for name, f in (("n", F.count), ("mean", F.avg), ("min", F.min), ("max", F.max))
-    ]
-    row = df.agg(*aggs).first()
-    return {c: tuple(row[f"{c}__{k}"] for k in ("n", "mean", "min", "max")) for c in columns}
-
-
 def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, count, mean, std, min, max, skew, kurtosis), bias-corrected.
 
-    Two passes: central sums around the known mean are plain sums, which stay inside
-    generated code and do not cancel.
+    Two passes: central sums are taken around the known mean, so they do not cancel.
     """
-    columns = list(columns)
-    first = _first_moments(df, columns)
-    sums = []
+    first = column_ranges(df, columns)
+    powers = {}
     for c in columns:
         d = F.col(c).cast("double") - F.lit(first[c][1]).cast("double")
-        sums += [F.sum(d).alias(f"{c}__1"), F.sum(d * d).alias(f"{c}__2"),
-                 F.sum(d * d * d).alias(f"{c}__3"), F.sum(d * d * d * d).alias(f"{c}__4")]
-    row = df.agg(*sums).first()
-    rows = [
-        _shape(c, *first[c], *(row[f"{c}__{i}"] for i in (1, 2, 3, 4))) for c in columns
-    ]
+        powers |= {(c, 1): d, (c, 2): d * d, (c, 3): d * d * d, (c, 4): d * d * d * d}
+    sums = column_sums(df, powers)
+    rows = [_shape(c, *first[c], *(sums[(c, i)] for i in (1, 2, 3, 4))) for c in columns]
     return literal_table(
         df.sparkSession, rows,
         "feature string, count long, mean double, std double, min double, max double, "
@@ -138,49 +125,41 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature_a, feature_b, r) for every pair a after b in column order, pairwise complete.
 
-    Columns are standardised with the first pass, so the second pass is sums of
-    products: one per pair of columns without nulls, six per pair with nulls.
+    Columns are centred with the first pass; the second sums products: one per pair of
+    columns without nulls, six per pair with nulls.
     """
     columns = list(columns or numeric_columns(df))
-    first = df.agg(
-        F.count("*").alias("_n"),
-        *[f(F.col(c).cast("double")).alias(f"{c}__{k}") for c in columns
-          for k, f in (("n", F.count), ("mean", F.avg), ("std", F.stddev_pop),
-                       ("min", F.min), ("max", F.max))],
-    ).first()
-    n = first["_n"]
-    varying = [c for c in columns if first[f"{c}__n"] and first[f"{c}__min"] < first[f"{c}__max"]]
-    complete = {c for c in columns if first[f"{c}__n"] == n}
-    z = {
-        c: (F.col(c).cast("double") - F.lit(first[f"{c}__mean"])) / F.lit(first[f"{c}__std"])
-        for c in varying
-    }
+    first = column_ranges(df, columns)
+    n = df.count()
+    varying = [c for c in columns if first[c][0] and first[c][2] < first[c][3]]
+    complete = {c for c in varying if first[c][0] == n}
+    d = {c: F.col(c).cast("double") - F.lit(first[c][1]) for c in varying}
     pairs = [(a, b) for b, a in combinations(varying, 2)]
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        aggs.append(F.sum(z[a] * z[b]).alias(f"ab{i}"))
+    terms = {(c, c): d[c] * d[c] for c in varying}
+    for a, b in pairs:
+        terms[(a, b)] = d[a] * d[b]
         if a not in complete or b not in complete:
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            aggs += [F.count_if(both).alias(f"n{i}")] + [
-                F.sum(F.when(both, x)).alias(f"{k}{i}") for k, x in (
-                    ("a", z[a]), ("b", z[b]), ("aa", z[a] * z[a]), ("bb", z[b] * z[b]))
-            ]
-    sums = df.agg(*aggs).first().asDict() if aggs else {}
-    r = {pair: _pair_r(sums, i, n) for i, pair in enumerate(pairs)}
+            terms |= {(a, b, name): F.when(both, x) for name, x in (
+                ("n", F.lit(1.0)), ("a", d[a]), ("b", d[b]), ("aa", d[a] * d[a]), ("bb", d[b] * d[b]))}
+    sums = column_sums(df, terms) if pairs else {}
+    r = {pair: _pair_r(sums, *pair) for pair in pairs}
     rows = [(a, b, r.get((a, b))) for b, a in combinations(columns, 2)]
     return literal_table(df.sparkSession, rows, "feature_a string, feature_b string, r double")
 
 
-def _pair_r(sums, i, n):
-    """Pearson r of one pair from its sums of standardised values."""
-    if f"n{i}" not in sums:
-        return sums[f"ab{i}"] / n
-    m = sums[f"n{i}"]
+def _pair_r(sums, a, b):
+    """Pearson r of one pair from its sums of centred values."""
+    if (a, b, "n") not in sums:
+        return sums[(a, b)] / (sums[(a, a)] * sums[(b, b)]) ** 0.5
+    m = sums[(a, b, "n")]
     if not m:
         return None
-    a, b = sums[f"a{i}"] / m, sums[f"b{i}"] / m
-    va, vb = sums[f"aa{i}"] / m - a * a, sums[f"bb{i}"] / m - b * b
-    return (sums[f"ab{i}"] / m - a * b) / (va * vb) ** 0.5 if va > 1e-15 and vb > 1e-15 else None
+    sa, sb = sums[(a, b, "a")], sums[(a, b, "b")]
+    va, vb = sums[(a, b, "aa")] - sa * sa / m, sums[(a, b, "bb")] - sb * sb / m
+    if va <= 1e-12 * sums[(a, a)] or vb <= 1e-12 * sums[(b, b)]:
+        return None
+    return (sums[(a, b)] - sa * sb / m) / (va * vb) ** 0.5
 
 
 def strong_pairs(pairs: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -272,9 +251,9 @@ def kernel_density(df: DataFrame, columns: Sequence[str], points: int = 200) ->
     )
 
 
-def value_frequency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def value_frequency(df: DataFrame, columns: Sequence[str], n: int | None = None) -> DataFrame:
     """(column, n_unique, unique_fraction, min_class_rows) with one shuffle for all columns."""
-    n = df.count()
+    n = df.count() if n is None else n
     cells = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("cell")) for c in columns
     ]))).filter("cell is not null")
@@ -307,7 +286,7 @@ def target_candidates(df: DataFrame) -> DataFrame:
     if not plausible:
         return scored.limit(0).select("column", F.lit(0).cast("long").alias("n_unique"), "score")
     return (
-        value_frequency(df, plausible)
+        value_frequency(df, plausible, probe["_n"])
         .filter((F.col("n_unique") >= S.TARGET_MIN_CLASSES)
                 & (F.col("unique_fraction") <= S.TARGET_MAX_UNIQUE_FRACTION)
                 & (F.col("min_class_rows") >= S.TARGET_MIN_CLASS_ROWS))

@@ -14,9 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SMALL_ROWS = 200_000
 
 
-def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
-    """Rows known to the driver as a local relation, whose exact size Catalyst sees."""
-    struct = T._parse_datatype_string(schema)
+def _local_relation(spark: SparkSession, rows: Iterable[Sequence], struct: T.StructType) -> DataFrame:
     columns = list(zip(*rows)) or [()] * len(struct)
     arrow = to_arrow_schema(struct)
     table = pa.Table.from_arrays(
@@ -25,22 +23,27 @@ def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) ->
     return spark.createDataFrame(table, schema=struct)
 
 
+def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
+    """Rows known to the driver as a local relation, whose exact size Catalyst sees."""
+    return _local_relation(spark, rows, T._parse_datatype_string(schema))
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` as a broadcast local relation if it has at most ``max_rows`` rows, else ``df``.
 
     Meant for statistics (one row per feature, class, bucket): evaluating them once
     here also keeps their plan from being repeated in every consumer.  The probe
-    fetches one row more than the bound, never the whole side.
+    takes rows partition by partition and stops one row past the bound.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
+    return F.broadcast(_local_relation(df.sparkSession, rows, df.schema))
 
 
 def small_rows(df: DataFrame, max_rows: int = SMALL_ROWS) -> list:
     """Rows of a frame that must be small; refuses to fetch an unbounded one."""
-    rows = df.limit(max_rows + 1).collect()
+    rows = df.take(max_rows + 1)
     if len(rows) > max_rows:
         raise ValueError(f"expected at most {max_rows} rows on the driver")
     return rows
@@ -55,6 +58,24 @@ def melt(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), name:
     return df.select(*keep, F.inline(pairs))
 
 
+def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+    """Column -> (non-null count, mean, min, max) in one pass, as driver numbers."""
+    row = df.agg(*[
+        f(F.col(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(columns)
+        for k, f in (("n", F.count), ("mean", F.avg), ("min", F.min), ("max", F.max))
+    ]).first()
+    return {c: tuple(row[f"{k}{i}"] for k in ("n", "mean", "min", "max")) for i, c in enumerate(columns)}
+
+
+def column_sums(df: DataFrame, expressions: dict) -> dict:
+    """Name -> sum of an expression over all rows, nulls skipped, in one pass.
+
+    Plain sums only: unlike moment aggregates they stay in generated code by the hundred.
+    """
+    row = df.agg(*[F.sum(e.cast("double")).alias(f"s{i}") for i, e in enumerate(expressions.values())]).first()
+    return dict(zip(expressions, row))
+
+
 def div(a: Column, b: Column) -> Column:
     """a / b, null when b is 0 (division by zero raises under ANSI mode)."""
     return F.try_divide(a.cast("double"), b.cast("double"))

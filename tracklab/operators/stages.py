@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tracklab import schema as S
 from tracklab.functions.features import engineered, feature_names
 from tracklab.operators.cleaning import add_missing_features, cast_bool, clipped, fit_fences
+from tracklab.operators.small import column_ranges, column_sums
 
 FEATURES_COL = "features"
 SCALED_PREFIX = "z_"
@@ -82,21 +83,18 @@ class PopStdScaler(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "PopStdScalerModel":
-        # Plain sums in two passes: they fit generated code for any number of columns,
-        # and squares are taken around the mean, so they do not cancel.
         columns = self.getInputCols()
-        span = range(len(columns))
-        first = dataset.agg(*[
-            f(F.col(c)).alias(f"{k}{i}") for i, c in enumerate(columns)
-            for k, f in (("n", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))
-        ]).first()
-        means = [first[f"m{i}"] or 0.0 for i in span]
-        second = dataset.agg(*[
-            F.sum((F.col(c) - means[i]) * (F.col(c) - means[i])).alias(f"q{i}") for i, c in enumerate(columns)
-        ]).first()
-        varying = [first[f"n{i}"] > 0 and first[f"lo{i}"] < first[f"hi{i}"] for i in span]
-        stds = [(second[f"q{i}"] / first[f"n{i}"]) ** 0.5 if varying[i] else 1.0 for i in span]
-        return PopStdScalerModel(inputCols=columns, outputCols=self.getOutputCols(), means=means, stds=stds)
+        first = column_ranges(dataset, columns)
+        means = {c: first[c][1] or 0.0 for c in columns}
+        squares = column_sums(dataset, {c: (F.col(c) - means[c]) * (F.col(c) - means[c]) for c in columns})
+
+        def scale(c: str) -> float:
+            n, _, low, high = first[c]
+            return (squares[c] / n) ** 0.5 if n and low < high else 1.0
+
+        return PopStdScalerModel(
+            inputCols=columns, outputCols=self.getOutputCols(),
+            means=[means[c] for c in columns], stds=[scale(c) for c in columns])
 
 
 class PopStdScalerModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tracklab.operators.small import checked_broadcast
 from tracklab.session import scratch_dir
 
 
@@ -19,6 +20,12 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Evaluate once: a broadcast local relation when small, else a staged table."""
+    small = checked_broadcast(df)
+    return small if small is not df else stage(df, purpose)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all task slots for an input with fewer splits than slots.
 
