@@ -19,12 +19,10 @@ from tracklab.session import local_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 HEADLINES = [
-    "target_summary", "super_genre_counts", "missing_counts", "describe_stats", "skew_kurtosis", "corr_pairs",
-    "iqr_fences", "iqr_fences_ranged", "winsorised", "group_profile", "histogram", "histogram_by_class", "kde_grid",
-    "target_candidates", "engineered_features", "stratified_split", "split_proportions", "stratified_sample",
-    "kfold_assign", "scaled_features", "mi_discrete", "mi_binned", "mi_knn", "mood_labels", "mood_recommendations",
-    "top_tracks_per_genre", "confusion", "classification_report", "roc_points", "auc_per_class", "topk_classes",
-    "confidence_gap", "top1_boxplot", "knn_vote", "running_best", "batch_predict",
+    "target_summary", "super_genre_counts", "describe_stats", "skew_kurtosis", "corr_pairs", "iqr_fences",
+    "winsorised", "histogram", "kde_grid", "target_candidates", "engineered_features", "stratified_split",
+    "kfold_assign", "mi_discrete", "mi_knn", "mood_labels", "top_tracks_per_genre", "classification_report",
+    "auc_per_class", "topk_classes", "top1_boxplot", "knn_vote", "batch_predict",
 ]
 COMPARED = {"cv_logistic_regression": "Logistic Regression", "cv_random_forest": "Random Forest", "cv_knn": "KNN",
             "cv_mlp": "MLP"}

@@ -9,11 +9,12 @@ candidate is skipped, and a cell has a bounded size.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import keyword_only
+from pyspark import cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -24,6 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+# Executors need not have this package installed: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BROADCAST_CELLS = 16_000_000   # rows x dimensions of a training side kept on every executor
 BLOCK_ROWS = 5_000
 CHUNK_CELLS = 8_000_000

@@ -273,7 +273,10 @@ def target_candidates(df: DataFrame) -> DataFrame:
     pass and are not shuffled.
     """
     columns = [c for c in df.columns if c not in S.ID_COLUMNS]
-    probe = df.agg(F.count("*").alias("_n"), *[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
+    probe = df.agg(F.count("*").alias("_n"), *[
+        F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), 12)), F.lit(0)).alias(c)
+        for c in columns
+    ]).first()
     ceiling = 2 * probe["_n"] / S.TARGET_MIN_CLASS_ROWS
     plausible = [c for c in columns if S.TARGET_MIN_CLASSES <= probe[c] * 1.2 and probe[c] <= ceiling]
     scores = []
