@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracklab.llm import quality
+from tracklab.llm import mixing, quality, tokens, warc
 from tracklab.llm.common import query, table
+from tracklab.session import scratch_dir
+from tracklab.sources.staging import stage
 
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 _W = r"[^\x20\x09-\x0D]+"
@@ -53,3 +57,84 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, tokens.load(public_tokenizers.path("byte_bpe_50k.json"))).drop("text")
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5('mix-1|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')) AS k
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         list_extract([5, 2, 1], ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT)::BIGINT AS w
+  FROM d GROUP BY source
+), o AS (
+  SELECT *, 3 * sum(source_size) OVER () - coalesce(4 * sum(source_size) OVER before, 0) AS left_num,
+         2 * (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS left_den,
+         row_number() OVER (ORDER BY source_size / w, source NULLS LAST) AS pos
+  FROM s
+  WINDOW before AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f AS (
+  SELECT arg_min(left_num, pos) AS num, arg_min(left_den, pos) AS den
+  FROM o WHERE left_num * w <= 2 * source_size * left_den
+), t AS (
+  SELECT source, source_size,
+         CASE WHEN num * w > 2 * source_size * den THEN (2 * source_size)::DOUBLE
+              ELSE num::DOUBLE * w / den::DOUBLE END AS target
+  FROM s, f
+), c AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS copies FROM t
+), r AS (
+  SELECT d.doc_id, d.size, c.source_size, c.target, c.copies,
+         floor(target)::BIGINT - copies * source_size AS rest,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source
+)
+SELECT doc_id, size, source_size, target,
+       (copies * size + greatest(least(rest - before, size), 0))::BIGINT AS taken
+FROM r
+""")
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = mixing.sized(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "order_key")
+    return mixing.mix(stage(docs, "mix-sizes")).drop("source", "order_key")
+
+
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+@query(f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), q AS (
+  SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS first FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('{_ALPHABET}', 1 + ((
+         ('0x' || substr(x, 1 + 5 * (i // 4), 5))::INT >> ((3 - i % 4) * 5)::INT) & 31)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM q
+""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as monolithic archives, normalised, and read back by the offset index."""
+    folder = scratch_dir(spark, "warc")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    warc.write_monolithic(warc.records(warc.linked(pages, "page_id", "html")), f"{folder}/whole")
+    index = warc.normalise(spark, f"{folder}/whole", f"{folder}/split")
+    rows = warc.read_members(index, f"{folder}/split", with_payload=False)
+
+    def page(urn: str):
+        return F.regexp_extract(urn, r"<urn:page:(-?\d+)>", 1).try_cast("long")
+
+    return rows.select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page("refers_to_id").alias("refers_to"),
+    )
