@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklab.llm import mixing, quality, tokens, warc
+from tracklab.llm import decontam, mixing, quality, tokens, warc
 from tracklab.llm.common import query, table
 from tracklab.session import scratch_dir
 from tracklab.sources.staging import stage
@@ -138,3 +138,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         page("refers_to_id").alias("refers_to"),
     )
+
+
+@query()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of benchmark items: one row per document and item found in it."""
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

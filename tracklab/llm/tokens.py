@@ -26,6 +26,8 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 MAX_FILE_BYTES = 64 << 20
 # Merged pre-tokens that a worker remembers, and the longest it does.
 MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
+# Words of at most so many bytes are scanned; ``NONE`` ranks after every merge.
+SCAN_BYTES, NONE = 32, (1 << 60, -1)
 # Pre-tokens of one text that are held at a time.
 CHUNK = 100_000
 
@@ -52,12 +54,23 @@ def byte_chars() -> dict[int, str]:
 def merged_length(data: bytes, byte_ids: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> int:
     """Tokens left when the pair of lowest rank, leftmost first, is merged until none is known.
 
-    A heap of pairs over a linked list: near linear in the length, also for very long words.
+    Short words are scanned for their best pair; longer ones keep a heap of pairs over a
+    linked list, near linear in the length.
     """
     ids = [byte_ids[b] for b in data]
     n = len(ids)
-    if n < 2:
-        return n
+    if n <= SCAN_BYTES:
+        get = merges.get
+        found = [get(pair, NONE) for pair in zip(ids, ids[1:])]
+        while found and (best := min(found))[1] >= 0:
+            i = found.index(best)
+            ids[i:i + 2] = [best[1]]
+            del found[i]
+            if i:
+                found[i - 1] = get((ids[i - 1], ids[i]), NONE)
+            if i < len(found):
+                found[i] = get((ids[i], ids[i + 1]), NONE)
+        return len(ids)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     heap = []
     for i in range(n - 1):
