@@ -45,7 +45,8 @@ class Join(NamedTuple):
 
 
 # Near copies among documents: five words, 80 percent.
-NEAR = Join(words=5, similar=80, slack_share=0.08)
+# With one part the subsets of a partition are the partition itself.
+NEAR = Join(words=5, similar=80, parts=1, left_out=0, slack=3, slack_share=0.15)
 
 # Sets from which the common shingles are taken, and in how many of them a shingle is common.
 # They decide only which signatures are weak, never which sets are found.
