@@ -209,13 +209,18 @@ def decontaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", te
     """
     kept = docs
     for block in _blocks(items, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        @F.arrow_udf("boolean")
-        def clean(batches: Iterator[pa.Array], shared=shared) -> Iterator[pa.Array]:
-            matcher = Matcher(shared.value, rate)
-            for batch in batches:
-                yield pa.array([not matcher.find(t) for t in batch.to_pylist()], pa.bool_())
-
+        clean = _clean(docs.sparkSession.sparkContext.broadcast(block), rate)
         kept = kept.filter(clean(F.coalesce(F.col(text), F.lit(""))))
     return kept
+
+
+def _clean(shared, rate: float):
+    """A function text -> whether no item of the broadcast block is in it."""
+
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        matcher = Matcher(shared.value, rate)
+        for batch in batches:
+            yield pa.array([not matcher.find(t) for t in batch.to_pylist()], pa.bool_())
+
+    return clean

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracklab.llm.common import free_name
+
 ROUNDS = 8
 KEY = "replace-this-key"
 
@@ -212,24 +214,21 @@ def pseudonym(m: Column, key: str) -> Column:
     return F.coalesce(out.otherwise(F.when(is_card(m), card(m, key))), m)
 
 
-def pseudonymised(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
-    """``df`` with private values of ``text`` replaced and ``n_private``, their number.
+def pseudonymised(df: DataFrame, text: str = "text", key: str = KEY, count: str = "n_private") -> DataFrame:
+    """``df`` with private values of ``text`` replaced and ``count``, their number.
 
-    A null text stays null, with 0; other columns stay (``n_private`` is replaced).  The text
+    A null text stays null, with 0; other columns stay (one of the name of ``count`` is replaced).  The text
     is cut at the matches, only these are rewritten, and the parts are joined again: the
     cost is linear in the text.  ``key`` must be kept secret outside tests.
     """
-    body = F.col(text)
-    # Texts without digits and @ hold nothing of any format.
-    found = F.when(F.rlike(body, F.lit("[0-9@]")), F.regexp_extract_all(body, F.lit(ANY), F.lit(0)))
+    body, found, new = F.col(text), free_name(df, "_found"), free_name(df, "_new")
     names = df.columns
-    out = df.withColumn("_found", found)
-    out = out.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key))))
-    parts = F.zip_with(F.split(body, ANY, -1), F.concat("_new", F.array(F.lit(""))), lambda gap, m: F.concat(gap, m))
-    changed = F.size(F.filter(F.arrays_zip(F.col("_found").alias("a"), F.col("_new").alias("b")), lambda p: p["a"] != p["b"]))
-    out = out.withColumns({
-        "_text": F.when(F.col("_new").isNull(), body).otherwise(F.array_join(parts, "")),
-        "_n": F.when(F.col("_new").isNull(), 0).otherwise(changed).cast("long"),
-    })
-    kept = [F.col("_text").alias(c) if c == text else F.col(f"`{c}`") for c in names if c.lower() != "n_private"]
-    return out.select(*kept, F.col("_n").alias("n_private"))
+    # Texts without digits and @ hold nothing of any format.
+    out = df.withColumn(found, F.when(F.rlike(body, F.lit("[0-9@]")), F.regexp_extract_all(body, F.lit(ANY), F.lit(0))))
+    out = out.withColumn(new, F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m, key))))
+    parts = F.zip_with(F.split(body, ANY, -1), F.concat(new, F.array(F.lit(""))), lambda gap, m: F.concat(gap, m))
+    changed = F.size(F.filter(F.arrays_zip(F.col(found).alias("a"), F.col(new).alias("b")), lambda p: p["a"] != p["b"]))
+    written = F.when(F.col(new).isNull(), body).otherwise(F.array_join(parts, ""))
+    kept = [written.alias(c) if c == text else F.col(f"`{c}`") for c in names if c.lower() != count]
+    number = F.when(F.col(new).isNull(), 0).otherwise(changed).cast("long").alias(count)
+    return out.select(*kept, number)

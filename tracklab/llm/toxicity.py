@@ -17,9 +17,10 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracklab.llm.common import free_name
 from tracklab.operators.small import checked_broadcast
 from tracklab.sources.staging import stage
 
@@ -197,28 +198,40 @@ def predict(chain: Chain, text: str) -> list[float]:
     return out
 
 
-def score(df: DataFrame, chain: Chain, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``df`` with ``p_<category>`` per category and ``is_<last category>`` (replaced where they exist).
-
-    Null and empty texts are scored as empty; whole texts are read; equal texts score equal.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(chain)
+def probabilities(spark, text: Column, chain: Chain) -> Column:
+    """Array of the probabilities of all categories of a text; null counts as empty."""
+    shared = spark.sparkContext.broadcast(chain)
 
     @F.pandas_udf("array<double>")
-    def probabilities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
         for batch in batches:
             yield pd.Series([predict(model, t) for t in batch], dtype="object")
 
+    return run(F.coalesce(text, F.lit("")))
+
+
+def score(df: DataFrame, chain: Chain, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``df`` with ``p_<category>`` per category and ``is_<last category>`` (replaced where they exist).
+
+    Null and empty texts are scored as empty; whole texts are read; equal texts score equal.
+    """
     last = chain.categories[-1]
-    new = {f"p_{c}": F.get(F.col("_p"), F.lit(i)) for i, c in enumerate(chain.categories)}
-    new[f"is_{last}"] = F.get(F.col("_p"), F.lit(len(chain.categories) - 1)) >= threshold
+    p = free_name(df, "_p")
+    new = {f"p_{c}": F.get(F.col(p), F.lit(i)) for i, c in enumerate(chain.categories)}
+    new[f"is_{last}"] = F.get(F.col(p), F.lit(len(chain.categories) - 1)) >= threshold
     low = {k.lower() for k in new}
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in low]
-    return df.withColumn("_p", probabilities(F.coalesce(F.col(text), F.lit("")))).select(
+    return df.withColumn(p, probabilities(df.sparkSession, F.col(text), chain)).select(
         *kept, *[c.alias(k) for k, c in new.items()])
 
 
+def without(df: DataFrame, chain: Chain, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``df`` whose last category is less probable than ``threshold``; all columns stay."""
+    p = probabilities(df.sparkSession, F.col(text), chain)
+    return df.filter(F.get(p, F.lit(len(chain.categories) - 1)) < threshold)
+
+
 def label_categories(labels: DataFrame) -> DataFrame:
     """The two categories of the label table, in chain order: low quality, then toxic."""
     return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), F.col("toxic"))
