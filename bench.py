@@ -14,7 +14,7 @@ import time
 
 from tracklab.operators import models, tuning
 from tracklab.plans.catalogue import QUERIES
-from tracklab.plans.queries_train import _prepared, _search_rows
+from tracklab.plans.queries_train import _fitted_rows, _prepared, _search_rows
 from tracklab.session import local_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -44,7 +44,7 @@ def main() -> None:
             timed(times, "prepare_model_rows", lambda: _prepared(spark, SF_DIR))
         timed(times, name, lambda: QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save())
     rows = _search_rows(spark, SF_DIR)
-    candidates = models.candidate_models(rows.count(), 6)
+    candidates = models.candidate_models(_fitted_rows(rows), 6)
     for name, model in COMPARED.items():
         timed(times, name, lambda: tuning.cross_validate([candidates[model]], rows))
     spark.stop()

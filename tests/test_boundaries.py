@@ -248,10 +248,24 @@ def test_confusion_with_absent_classes(spark):
     assert worst == {"a": ("c", 1), "b": ("c", 1), "c": (None, None)}
 
 
+def test_confusion_with_nulls(spark):
+    df = literal_table(spark, [("a", "a"), ("a", None), ("b", "a"), (None, "a"), (None, None)], "y_true string, y_pred string")
+    m = E.confusion(df)
+    assert sorted(rows(m), key=str) == sorted([("a", "a", 1), ("a", "b", 0), ("a", None, 1), ("b", "a", 1), ("b", "b", 0)], key=str)
+    got = {r["label"]: (r["tp"], r["support"], r["predicted"]) for r in E.per_class(m).collect()}
+    assert got == {"a": (1, 2, 2), "b": (0, 1, 0)}
+    assert E.metric_row(m).first()["accuracy"] == pytest.approx(1 / 3)
+
+
+def test_confusion_of_many_labels(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("y_true"), F.col("id").cast("string").alias("y_pred"))
+    assert E.metric_row(E.confusion(df)).first()["accuracy"] == 1
+
+
 def test_improvement_log_only_below_target(spark):
     bad = E.confusion(literal_table(spark, [("a", "b"), ("b", "b")], "y_true string, y_pred string"))
     good = E.confusion(literal_table(spark, [("a", "a"), ("b", "b")], "y_true string, y_pred string"))
-    assert rows(E.improvement_log(bad)) == [(0.5, pytest.approx(0.3), "No improvement attempts recorded yet.")]
+    assert rows(E.improvement_log(bad)) == [(0.5, pytest.approx(0.3), "none so far")]
     assert rows(E.improvement_log(good)) == []
 
 
@@ -335,14 +349,16 @@ def _brute_mi(values, labels, k=3):
     return max(0.0, _digamma(len(values)) + float(np.mean(terms)))
 
 
-@pytest.mark.parametrize("ties", [False, True])
+@pytest.mark.parametrize("ties", ["", "binary", "decimal", "far"])
 @pytest.mark.parametrize("plain_rows", [None, 0])
 def test_knn_mi_equals_brute_force(spark, ties, plain_rows):
     rng = np.random.default_rng(7)
     labels = rng.choice(["a", "b", "c"], 600, p=[0.6, 0.3, 0.1]).tolist() + ["single", "p", "p"]
     values = rng.normal(size=603) + np.array([{"a": 0, "b": 1.5}.get(c, -1) for c in labels])
-    if ties:
+    if ties == "binary":
         values = np.floor(values * 8) / 8    # exact in binary, with many equal values
+    elif ties:
+        values = np.round(values * 100, 1) / 100 + 1000 * (ties == "far")    # sums of decimals are rounded
     df = literal_table(spark, list(zip(labels, values.tolist())), "g string, x double")
     assert I.knn_mi(df, ["x"], "g", plain_rows=plain_rows).first()["mutual_info"] == pytest.approx(_brute_mi(values, labels), abs=1e-9)
 

@@ -1,6 +1,7 @@
 """CSV sources and sinks, and the row-local operators on a file stream."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tracklab import schema as S
 from tracklab.operators.cleaning import cast_bool, handle_row_cap
@@ -22,11 +23,19 @@ def folder(tmp_path):
     return tmp_path
 
 
-def test_first_csv_by_name(spark, folder):
+def test_one_csv_or_a_written_folder(spark, folder):
     assert files.find_csv(spark, str(folder)).endswith("/b.csv")
     (folder / "a.csv").write_text(HEADER + "\n")
-    with pytest.warns(UserWarning):
-        assert files.find_csv(spark, str(folder)).endswith("/a.csv")
+    with pytest.raises(ValueError, match="2 CSV files"):
+        files.find_csv(spark, str(folder))
+
+
+def test_a_written_folder_comes_back_whole(spark, tmp_path):
+    columns = [F.col("id").cast("string").alias("track_id") if f.name == "track_id" else F.lit(None).cast(f.dataType).alias(f.name)
+               for f in S.TRACK_SCHEMA]
+    files.write_csv(spark.range(1000).repartition(4).select(*columns), str(tmp_path / "out"))
+    back = files.read_tracks_csv(spark, files.find_csv(spark, str(tmp_path / "out")), indexed=False)
+    assert sorted(int(r.track_id) for r in back.select("track_id").collect()) == list(range(1000))
 
 
 def test_no_csv(spark, tmp_path):

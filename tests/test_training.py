@@ -78,15 +78,13 @@ def test_clipping_preprocessor(spark, sf, tmp_path):
 
 @pytest.fixture(scope="module")
 def sample(spark):
-    """50 seeded random records."""
-    rng = np.random.default_rng(42)
-    n = 50
-    ints = {"popularity": (0, 100), "duration_ms": (60000, 400000), "explicit": (0, 2), "key": (0, 12), "mode": (0, 2),
-            "time_signature": (3, 6)}
-    floats = {"loudness": (-30, 0), "speechiness": (0, 0.5), "tempo": (60, 200)}
-    columns = [
-        rng.integers(*ints[c], n).astype(float) if c in ints else rng.uniform(*floats.get(c, (0, 1)), n)
-        for c in S.FEATURES]
+    """Records spread evenly over each feature's valid range, every feature in an order of its own."""
+    n, rng = 64, np.random.default_rng(7)
+    columns = []
+    for c in S.FEATURES:
+        low, high, _ = S.FEATURE_DOMAIN[c]
+        even = np.linspace(low, high, n)
+        columns.append(rng.permutation(np.round(even) if c in S.DISCRETE_FEATURES else even))
     return literal_table(spark, [(i, *map(float, r)) for i, r in enumerate(zip(*columns))],
                          "i int, " + ", ".join(f"`{c}` double" for c in S.FEATURES))
 
@@ -161,7 +159,7 @@ def test_tuned_model_factory():
     get = boosted.getOrDefault
     assert (boosted.getMaxIter(), get("maxDepth"), get("subsamplingRate"), get("featureSubsetStrategy")) == (1000, 6, 0.8, "0.8")
     assert models.boosting_from({"num_leaves": 127, "max_depth": 3}).getOrDefault("maxDepth") == 3
-    mlp = models.tuned_model("MLP", {"n_layers": 2, "n_units_l0": 70, "n_units_l1": 80, "lr_init": 0.01}, 6)
+    mlp = models.tuned_model("MLP", {"n_layers": 2, "n_units_l0": 70, "n_units_l1": 80}, 6)
     assert mlp.getLayers() == [42, 70, 80, 6] and mlp.getMaxIter() == 300
     forest = models.tuned_model("Random Forest", {"n_estimators": 150, "max_depth": 10, "max_features": "log2"}, 6)
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (150, 10, "log2")

@@ -19,23 +19,25 @@ def confusion(df: DataFrame, truth: str = "y_true", pred: str = "y_pred",
               labels: Sequence[str] | None = None) -> DataFrame:
     """(y_true, y_pred, n) for every pair of labels, zeros included.
 
-    Without ``labels``, those seen in either column.  The counts are one row per pair of
-    labels, so everything derived from them is driver-sized.
+    Without ``labels``, those seen in either column.  Rows without a truth are left out; a
+    missing prediction is an error of its class, counted in rows whose y_pred is null.  The
+    grid is made by Spark from the list of labels.
     """
     counts = checked_broadcast(
-        df.groupBy(F.col(truth).alias("y_true"), F.col(pred).alias("y_pred"))
+        df.filter(F.col(truth).isNotNull()).groupBy(F.col(truth).alias("y_true"), F.col(pred).alias("y_pred"))
         .agg(F.count("*").alias("n"))
     )
     if labels is None:
-        seen = counts.select(F.explode(F.array("y_true", "y_pred")).alias("l")).distinct()
+        seen = counts.select(F.explode(F.array("y_true", "y_pred")).alias("l")).filter("l is not null").distinct()
         labels = sorted(r["l"] for r in small_rows(seen))
     kind = df.schema[truth].dataType.simpleString()
-    grid = literal_table(
-        df.sparkSession, [(a, b) for a in labels for b in labels], f"y_true {kind}, y_pred {kind}"
-    )
+    known = literal_table(df.sparkSession, [(a,) for a in labels], f"y_true {kind}")
+    grid = known.withColumn("y_pred", F.explode(F.array(*[F.lit(b).cast(kind) for b in labels]))) if labels else (
+        known.withColumn("y_pred", F.lit(None).cast(kind)))
+    none = counts.filter("y_pred is null").join(known, "y_true", "left_semi")
     return grid.join(counts, ["y_true", "y_pred"], "left").select(
         "y_true", "y_pred", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    ).unionByName(none.select("y_true", "y_pred", "n"))
 
 
 def confusion_shares(matrix: DataFrame) -> DataFrame:
@@ -52,7 +54,7 @@ def per_class(matrix: DataFrame) -> DataFrame:
         F.struct(F.col("y_pred").alias("label"), F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted"),
                  F.lit(0).cast("long").alias("tp")),
     )))
-    sums = pairs.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
+    sums = pairs.filter("label is not null").groupBy("label").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
     zero = F.lit(0.0)
     return sums.select(
         "label",
@@ -190,7 +192,7 @@ def metrics_with_auc(matrix: DataFrame, aucs: DataFrame, classes: Sequence[str])
 
 def improvement_log(matrix: DataFrame, attempts: Sequence[str] = ()) -> DataFrame:
     """(accuracy, gap, attempt) rows while the accuracy target is missed, else no rows."""
-    notes = list(attempts) or ["No improvement attempts recorded yet."]
+    notes = list(attempts) or ["none so far"]
     return metric_row(matrix).filter(~F.col("target_met")).select(
         "accuracy", "gap", F.explode(F.array(*[F.lit(n) for n in notes])).alias("attempt")
     )

@@ -37,7 +37,8 @@ def candidate_models(rows: int, classes: int, width: int = WIDTH, rounds: int =
                      svm_steps: int = 2000) -> dict[str, Estimator]:
     """The six compared classifiers for ``rows`` training rows and ``classes`` classes.
 
-    The penalty of the linear models is given per row here, hence 1 / rows.
+    ``rows`` are those of one fit, in cross-validation without the held-out fold: the penalty
+    of the linear models is given per row here, hence 1 / rows.
     """
     per_row = 1.0 / rows
     return {
@@ -59,9 +60,11 @@ def candidate_models(rows: int, classes: int, width: int = WIDTH, rounds: int =
 def boosting_from(params: dict[str, Any]) -> OneVsRestGBT:
     """Boosted trees from leaf-count style parameters.
 
-    A leaf count becomes the depth that can hold it.  ``reg_alpha`` and ``reg_lambda``
-    have no counterpart and are ignored.
+    A leaf count becomes the depth that can hold it.  Leaf penalties have no counterpart:
+    giving one is an error.
     """
+    if unused := {"reg_alpha", "reg_lambda"} & params.keys():
+        raise ValueError(f"boosted trees have no {', '.join(sorted(unused))}")
     depth = math.ceil(math.log2(params.get("num_leaves", 31)))
     if params.get("max_depth", -1) > 0:
         depth = min(depth, params["max_depth"])
@@ -86,10 +89,15 @@ def forest_from(params: dict[str, Any]) -> RandomForestClassifier:
 
 def perceptron_from(params: dict[str, Any], classes: int, width: int = WIDTH,
                     rounds: int = 300) -> MultilayerPerceptronClassifier:
-    """A perceptron whose hidden layers are n_layers with n_units_l0, n_units_l1, ..."""
+    """A perceptron whose hidden layers are n_layers with n_units_l0, n_units_l1, ...
+
+    Its solver takes no learning rate and no weight penalty: giving one is an error.
+    """
+    if unused := {"lr_init", "alpha"} & params.keys():
+        raise ValueError(f"the perceptron has no {', '.join(sorted(unused))}")
     hidden = [params[f"n_units_l{i}"] for i in range(params["n_layers"])] if "n_layers" in params else [128, 64]
     return MultilayerPerceptronClassifier(
-        layers=[width, *hidden, classes], maxIter=rounds, stepSize=float(params.get("lr_init", 0.03)), seed=S.SEED)
+        layers=[width, *hidden, classes], maxIter=rounds, seed=S.SEED)
 
 
 def tuned_model(name: str, params: dict[str, Any], classes: int) -> Estimator:

@@ -154,23 +154,48 @@ def _radii(points: DataFrame, k: int, plain: bool) -> DataFrame:
     )
 
 
+def _end(x: Column, d: Column, side: int) -> Column:
+    """(_x, _lo, _even): the exact end of the points whose computed distance from ``x`` is below ``d``.
+
+    A distance rounds up to ``d`` from half a unit below it, so the end is x + side * (d - unit / 2),
+    given as a sum of two doubles.  A distance right at the half unit rounds to the even one.
+    """
+    power = F.pow(F.lit(2.0), F.floor(F.log2(d)))
+    power = F.when(power > d, power / 2).when(power * 2 <= d, power * 2).otherwise(power)
+    unit = power * 2.0 ** -52
+    half = F.when(power == d, unit / 4).otherwise(unit / 2)
+    step = d * side
+    total = x + step
+    back = total - x
+    rest = (x - (total - back)) + (step - back) - half * side
+    high = total + rest
+    zero = d == 0
+    return F.struct(
+        F.when(zero, x).otherwise(high).alias("x"), F.when(zero, 0.0).otherwise(rest - (high - total)).alias("lo"),
+        (F.pmod(d / unit, F.lit(2.0)) == 0).alias("even"))
+
+
 def _inside(radii: DataFrame, plain: bool) -> DataFrame:
-    """Adds ``_m``: points of any class strictly within the radius, ties counting as inside.
+    """Adds ``_m``: points of any class nearer than the radius; with radius 0, those of equal value.
 
     Interval ends are merged with the points in value order; a running count at both
-    ends gives the points between them.
+    ends gives the points between them.  The ends are exact, so that the points are those
+    whose distance, as computed, is below the radius.
     """
     x, d = F.col("value"), F.col("_d")
     point = ["feature", "_class", "value"]
     data = radii.groupBy("feature", "value").agg(F.sum("_c").alias("_w")).select(
         "feature", F.lit(None).cast("string").alias("_class"), F.col("value"),
-        F.col("value").alias("_x"), F.lit(1).alias("_ord"), "_w",
+        F.col("value").alias("_x"), F.lit(0.0).alias("_lo"), F.lit(1).alias("_ord"), "_w",
     )
-    # Order at one value: ends that exclude it (0), the points (1), ends that include it (2).
+    # Order at one place: ends that leave the points there out of the sum (0), the points (1), ends that take them in (2).
     zero = F.col("_d") == 0
-    ends = radii.select(*point, F.inline(F.array(
-        F.struct((x + d).alias("_x"), F.when(zero, 2).otherwise(0).alias("_ord"), F.lit(1).alias("_sign")),
-        F.struct((x - d).alias("_x"), F.when(zero, 0).otherwise(2).alias("_ord"), F.lit(-1).alias("_sign")),
+    placed = radii.withColumns({"_up": _end(x, d, 1), "_down": _end(x, d, -1)})
+    ends = placed.select(*point, F.inline(F.array(
+        F.struct(F.col("_up.x").alias("_x"), F.col("_up.lo").alias("_lo"),
+                 F.when(zero | ~F.col("_up.even"), 2).otherwise(0).alias("_ord"), F.lit(1).alias("_sign")),
+        F.struct(F.col("_down.x").alias("_x"), F.col("_down.lo").alias("_lo"),
+                 F.when(zero | ~F.col("_down.even"), 0).otherwise(2).alias("_ord"), F.lit(-1).alias("_sign")),
     )))
     both = data.withColumn("_sign", F.lit(0)).unionByName(
         ends.withColumn("_w", F.lit(0).cast("long"))
@@ -181,7 +206,7 @@ def _inside(radii: DataFrame, plain: bool) -> DataFrame:
         ranged.groupBy("feature", "_range").agg(F.sum("_w").alias("_t"))
         .select("feature", "_range", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
     )
-    upto = W.partitionBy("feature", "_range").orderBy("_x", "_ord").rangeBetween(
+    upto = W.partitionBy("feature", "_range").orderBy("_x", "_lo", "_ord").rangeBetween(
         W.unboundedPreceding, W.currentRow)
     counts = (
         ranged.withColumn("_seen", F.sum("_w").over(upto))

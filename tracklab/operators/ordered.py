@@ -165,10 +165,13 @@ def _ranged_quantiles(df, columns, probs, by):
         .withColumn("_weight", position - F.floor(position))
         .select(*keys, "prob", "_side", "_rank", "_bracket", "_before", "_weight")
     )
-    wanted = checked_broadcast(wanted)
-    hit = wanted.select(*keys, "_bracket").distinct()
+    small = checked_broadcast(wanted)
+    hit = small.select(*keys, "_bracket").distinct()
+    if small is not wanted:  # no larger than the frame that was proven small
+        hit = F.broadcast(hit)
+    wanted = small
     candidates = stage(
-        ranged.join(F.broadcast(hit) if _is_broadcast(wanted) else hit, [*keys, "_bracket"], "left_semi")
+        ranged.join(hit, [*keys, "_bracket"], "left_semi")
         .groupBy(*keys, "_bracket", "value").agg(F.count("*").alias("_c")),
         "quantile-candidates",
     )
@@ -184,7 +187,3 @@ def _ranged_quantiles(df, columns, probs, by):
         *keys, "prob", "value"
     )
 
-
-def _is_broadcast(df: DataFrame) -> bool:
-    """Whether ``checked_broadcast`` found the frame small (it then carries the hint)."""
-    return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()

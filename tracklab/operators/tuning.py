@@ -27,7 +27,7 @@ PARALLELISM = 8
 # Parameters kept constant during the grid search.
 GRID_FIXED = {
     "Boosting": {"n_estimators": 100, "min_child_samples": 20, "colsample_bytree": 0.8,
-                 "subsample": 0.8, "reg_alpha": 0.1, "reg_lambda": 1.0},
+                 "subsample": 0.8},
     "Random Forest": {"n_estimators": 150},
 }
 # Grids.
@@ -35,12 +35,13 @@ GRIDS = {
     "Boosting": {"num_leaves": [63, 127], "learning_rate": [0.05, 0.1]},
     "Random Forest": {"max_depth": [10, 20, 30], "min_samples_leaf": [1, 2, 5], "max_features": ["sqrt", "log2"]},
 }
-# Search ranges: ("int", low, high), ("float", low, high), ("log", low, high), ("one", choices).
+# Search ranges.  Only parameters that the learners here use are drawn: boosted trees
+# have no leaf penalties, the perceptron's solver no learning rate and no weight penalty.  Kinds: ("int", low, high), ("float", low, high), ("log", low, high), ("one", choices).
 RANGES = {
     "Boosting": {
         "n_estimators": ("int", 100, 500), "learning_rate": ("log", 0.02, 0.3), "num_leaves": ("int", 31, 127),
         "max_depth": ("int", 3, 10), "min_child_samples": ("int", 10, 100), "subsample": ("float", 0.6, 1.0),
-        "colsample_bytree": ("float", 0.6, 1.0), "reg_alpha": ("log", 1e-8, 5.0), "reg_lambda": ("log", 1e-8, 5.0),
+        "colsample_bytree": ("float", 0.6, 1.0),
     },
     "Random Forest": {
         "n_estimators": ("int", 50, 300), "max_depth": ("int", 5, 25), "min_samples_split": ("int", 2, 20),
@@ -48,7 +49,7 @@ RANGES = {
     },
     "MLP": {
         "n_layers": ("int", 1, 3), "n_units_l0": ("int", 64, 256), "n_units_l1": ("int", 64, 256),
-        "n_units_l2": ("int", 64, 256), "alpha": ("log", 1e-5, 1e-1), "lr_init": ("log", 1e-4, 1e-1),
+        "n_units_l2": ("int", 64, 256),
     },
 }
 

@@ -243,10 +243,18 @@ def _knn_mi_sql(rows: str) -> list[str]:
         "vals AS (SELECT feature, value, count(*) AS c FROM pts GROUP BY feature, value)",
         "cum AS MATERIALIZED (SELECT feature, value, c, sum(c) OVER (PARTITION BY feature ORDER BY value) AS upto FROM vals)",
         "places AS (SELECT DISTINCT feature, cls, value, d FROM radii)",
-        """hi AS (SELECT p.feature, p.cls, p.value, p.d, CASE WHEN p.d > 0 AND c.value = p.value + p.d THEN c.upto - c.c ELSE c.upto END AS n
- FROM places p ASOF JOIN cum c ON p.feature = c.feature AND p.value + p.d >= c.value)""",
-        """lo AS (SELECT p.feature, p.cls, p.value, coalesce(CASE WHEN p.d = 0 AND c.value = p.value THEN c.upto - c.c ELSE c.upto END, 0) AS n
- FROM places p ASOF LEFT JOIN cum c ON p.feature = c.feature AND p.value - p.d >= c.value)""",
+        # The values around a rounded end are tested by their distance itself.
+        """edges AS MATERIALIZED (SELECT feature, value, upto,
+ [lag(value, 2) OVER w, lag(value) OVER w, value, lead(value) OVER w, lead(value, 2) OVER w] AS vs,
+ [lag(upto, 2) OVER w, lag(upto) OVER w, upto, lead(upto) OVER w, lead(upto, 2) OVER w] AS us,
+ [lag(upto - c, 2) OVER w, lag(upto - c) OVER w, upto - c, lead(upto - c) OVER w, lead(upto - c, 2) OVER w] AS bs
+ FROM cum WINDOW w AS (PARTITION BY feature ORDER BY value))""",
+        """hi AS (SELECT p.feature, p.cls, p.value, p.d,
+ list_max(list_transform(range(1, 6), lambda i: CASE WHEN vs[i] - p.value < p.d OR vs[i] = p.value THEN us[i] END)) AS n
+ FROM places p ASOF JOIN edges c ON p.feature = c.feature AND p.value + p.d >= c.value)""",
+        """lo AS (SELECT p.feature, p.cls, p.value,
+ list_min(list_transform(range(1, 6), lambda i: CASE WHEN p.value - vs[i] < p.d OR vs[i] = p.value THEN bs[i] END)) AS n
+ FROM places p ASOF JOIN edges c ON p.feature = c.feature AND p.value - p.d <= c.value)""",
         "inside AS (SELECT hi.feature, hi.cls, hi.value, hi.n - lo.n AS m FROM hi JOIN lo USING (feature, cls, value))",
         f"""scores AS (SELECT feature, greatest({_digamma_sql('count(*)')} + avg({_digamma_sql('k')}) - avg({_digamma_sql('nc')})
  - avg({_digamma_sql('m')}), 0) AS mi FROM radii JOIN inside USING (feature, cls, value) GROUP BY feature)""",

@@ -87,11 +87,12 @@ def encoded_targets(spark, sf):
 
 
 @query(on_tracks(" UNION ALL ".join(
-    f"SELECT {i} AS pos, '{c}' AS \"column\", count(*) AS n_rows FROM tracks"
+    f"SELECT {i} AS pos, '{c}' AS \"column\", CASE max(typeof({c})) WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' "
+    f"ELSE lower(max(typeof({c}))) END AS dtype, {c not in ('track_id', 'signal_genre')} AS nullable, count(*) AS n_rows FROM tracks"
     for i, c in enumerate(TRACK_COLUMNS))))
 def schema_report(spark, sf):
     t = tracks(spark, sf).select(*TRACK_COLUMNS)
-    return P.schema_report(t).select("pos", "column", "n_rows")
+    return P.schema_report(t)
 
 
 @query(on_tracks("SELECT * FROM (" + " UNION ALL ".join(
@@ -346,8 +347,7 @@ def csv_round_trip(spark, sf):
                "loudness", "track_genre"]
     path = scratch_dir(spark, "csv")
     files.write_csv(tracks(spark, sf).select(*columns), path)
-    files.find_csv(spark, path)
-    return files.read_upload_csv(spark, path)
+    return files.read_upload_csv(spark, files.find_csv(spark, path))
 
 
 @query(on_tracks("SELECT track_id, popularity, energy, tempo, track_genre FROM tracks"))

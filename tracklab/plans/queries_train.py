@@ -35,6 +35,11 @@ def _search_rows(spark, sf):
     return training.folds_for_search(_prepared(spark, sf), TARGET, IDS)
 
 
+def _fitted_rows(rows) -> int:
+    """Rows that one fold's fit sees."""
+    return rows.count() * (S.CV_FOLDS - 1) // S.CV_FOLDS
+
+
 @lru_cache(maxsize=4)
 def _pipeline(spark, sf) -> PipelineModel:
     """A forest fitted on train plus validation rows, saved and loaded again."""
@@ -51,14 +56,14 @@ def _pipeline(spark, sf) -> PipelineModel:
 def cv_comparison(spark, sf):
     """All six candidates by 3-fold cross-validation; few boosting rounds and SVM steps keep the run short."""
     rows = _search_rows(spark, sf)
-    candidates = models.candidate_models(rows.count(), len(S.CLASSES), rounds=10, svm_steps=30)
+    candidates = models.candidate_models(_fitted_rows(rows), len(S.CLASSES), rounds=10, svm_steps=30)
     return tuning.compare_models(candidates, rows)
 
 
 @query()
 def best_model(spark, sf):
     rows = _search_rows(spark, sf)
-    candidates = models.candidate_models(rows.count(), len(S.CLASSES))
+    candidates = models.candidate_models(_fitted_rows(rows), len(S.CLASSES))
     comparison = tuning.compare_models({n: candidates[n] for n in ("Logistic Regression", "KNN")}, rows)
     return comparison.limit(1)
 

@@ -72,7 +72,7 @@ def train(df: DataFrame, target: str, ids: list[str], out: str, trials: int = S.
     search = folds_for_search(prepared, target, ids)
     classes, n = len(prepared.labels), search.count()
     width = len(prepared.rows.select("features").first()[0])
-    comparison = U.compare_models(M.candidate_models(n, classes, width, rounds), search)
+    comparison = U.compare_models(M.candidate_models(n * (S.CV_FOLDS - 1) // S.CV_FOLDS, classes, width, rounds), search)
     best = U.best_model(comparison)
     baseline = comparison.filter(F.col("model") == best).first()["mean_f1_weighted"]
     if use_grid:

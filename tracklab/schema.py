@@ -73,7 +73,6 @@ CV_SUBSAMPLE = 10_000
 CV_FOLDS = 3
 SEARCH_TRIALS = 50
 TARGET_ACCURACY = 0.80
-BATCH_ROW_CAP = 500
 TOP_CLASSES = 5
 
 # Gates and name keywords of target discovery.

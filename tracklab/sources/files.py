@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,11 @@ from tracklab.operators.cleaning import nan_to_null
 
 
 def find_csv(spark: SparkSession, directory: str) -> str:
-    """Path of the first CSV file of a folder, by name, on any Hadoop file system."""
+    """What holds the rows of a folder, on any Hadoop file system: its one CSV file, or the folder.
+
+    The part files that a Spark job wrote are one table, so the path is then the folder's.
+    Several other files may be unrelated: that is an error, and the caller names one.
+    """
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(directory)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -22,9 +25,11 @@ def find_csv(spark: SparkSession, directory: str) -> str:
     paths = sorted(str(status.getPath()) for status in found or [])
     if not paths:
         raise FileNotFoundError(f"no CSV file in {directory}")
-    if len(paths) > 1:
-        warnings.warn(f"several CSV files in {directory}; using {paths[0]}")
-    return paths[0]
+    if len(paths) == 1:
+        return paths[0]
+    if all(path.rpartition("/")[2].startswith("part-") for path in paths):
+        return directory
+    raise ValueError(f"{len(paths)} CSV files in {directory}; name one of {', '.join(paths[:5])}")
 
 
 def read_tracks_csv(spark: SparkSession, path: str, indexed: bool = True) -> DataFrame:
@@ -54,7 +59,7 @@ def read_upload_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_tracks(spark: SparkSession, path: str | None = None, directory: str | None = None) -> DataFrame:
-    """A CSV given by path, or the first one of a folder."""
+    """A CSV given by path, or all rows of a folder as ``find_csv`` sees it."""
     return read_tracks_csv(spark, path or find_csv(spark, directory))
 
 
