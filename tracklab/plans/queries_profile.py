@@ -103,15 +103,15 @@ def missing_counts(spark, sf):
     return P.missing_counts(tracks(spark, sf), TRACK_COLUMNS)
 
 
-_DESCRIBE = ("count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c}) AS min, "
-             "round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
-             "round(quantile_cont({c}, 0.75), 6) AS p75, max({c}) AS max")
+_DESCRIBE = ("count({c}) AS count, round(avg({c}), 7) AS mean, round(stddev_samp({c}), 7) AS std, min({c}) AS min, "
+             "round(quantile_cont({c}, 0.25), 7) AS p25, round(quantile_cont({c}, 0.5), 7) AS p50, "
+             "round(quantile_cont({c}, 0.75), 7) AS p75, max({c}) AS max")
 
 
 @query(on_tracks(per_column("tracks", NUMERIC, _DESCRIBE)))
 def describe_stats(spark, sf):
     d = P.describe(tracks(spark, sf, busy=True), NUMERIC)
-    return rounded(d, ["mean", "std", "p25", "p50", "p75"])
+    return rounded(d, ["mean", "std", "p25", "p50", "p75"], 7)
 
 
 @query(per_column("events", ["value"], _DESCRIBE) + " UNION ALL "
@@ -119,7 +119,7 @@ def describe_stats(spark, sf):
 def describe_native(spark, sf):
     d = P.describe(table(spark, sf, "events"), ["value"]).unionByName(
         P.describe(table(spark, sf, "documents"), ["n_chars"]))
-    return rounded(d, ["mean", "std", "p25", "p50", "p75"])
+    return rounded(d, ["mean", "std", "p25", "p50", "p75"], 7)
 
 
 @query(on_tracks(per_column("tracks", NUMERIC, "round(skewness({c}), 6) AS skew, round(kurtosis({c}), 6) AS kurtosis")))
@@ -224,14 +224,14 @@ def _histogram_sql(rows: str, keys: str, bins: int) -> str:
   FROM long WHERE value IS NOT NULL GROUP BY {keys}),
  cnt AS (SELECT {rkeys}, CAST(least(floor((value - low) / width), {bins - 1}) AS INT) AS bin, count(*) AS n
   FROM long r JOIN lim l ON {rl} WHERE value IS NOT NULL GROUP BY ALL),
- hist AS (SELECT {lkeys}, CAST(b.i AS INT) AS bin, round(low + b.i * width, 6) AS left_edge, coalesce(n, 0) AS n,
+ hist AS (SELECT {lkeys}, CAST(b.i AS INT) AS bin, low + b.i * width AS left_edge, coalesce(n, 0) AS n,
   round(coalesce(n, 0) / (total * width), 6) AS density
   FROM lim l CROSS JOIN range({bins}) b(i) LEFT JOIN cnt c ON {on} AND c.bin = b.i)"""
 
 
 @query(on_tracks("SELECT * FROM hist", _histogram_sql(unpivot("tracks", NUMERIC), "feature", 40)))
 def histogram(spark, sf):
-    return rounded(P.histogram(tracks(spark, sf, busy=True), NUMERIC), ["left_edge", "density"])
+    return rounded(P.histogram(tracks(spark, sf, busy=True), NUMERIC), ["density"])
 
 
 _HIST_CLASS = ["acousticness", "energy", "danceability", "speechiness", "loudness", "valence"]
@@ -241,7 +241,7 @@ _HIST_CLASS = ["acousticness", "energy", "danceability", "speechiness", "loudnes
     unpivot("mapped", _HIST_CLASS, "super_genre"), "super_genre, feature", 40)))
 def histogram_by_class(spark, sf):
     h = P.histogram(_mapped(spark, sf, busy=True), _HIST_CLASS, by=["super_genre"])
-    return rounded(h, ["left_edge", "density"])
+    return rounded(h, ["density"])
 
 
 _KDE = ["popularity", "tempo", "acousticness"]

@@ -10,6 +10,7 @@ from functools import lru_cache
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tracklab import schema as S
@@ -18,6 +19,8 @@ from tracklab.operators import infer, models, recommend, tuning
 from tracklab.operators.cleaning import numeric_columns
 from tracklab.plans import evaluation, training
 from tracklab.plans.oracle_views import on_tracks
+from tracklab.plans.queries_model import _SCALED as SCALED_SQL
+from tracklab.plans.queries_model import FEATURE_SQL
 from tracklab.plans.registry import query
 from tracklab.session import scratch_dir
 from tracklab.sources.tables import tracks
@@ -134,12 +137,35 @@ def test_set_evaluation(spark, sf):
     return evaluation.evaluate(rows, _pipeline(spark, sf), TARGET)["metrics"]
 
 
-@query()
+@query(on_tracks("SELECT track_id, " + ", ".join(f"round(z_{c}, 6) AS z_{c}" for c in FEATURE_SQL) + " FROM scaled", *SCALED_SQL))
 def scaled_inputs(spark, sf):
-    """Scaled features of all tracks as the model sees them."""
+    """Scaled features of all tracks as the model sees them, cell by cell."""
     features = infer.preprocess(tracks(spark, sf), _prepared(spark, sf).preprocessor, keep=IDS)
-    return features.select("track_id", F.size(F.array(*[F.lit(c) for c in feature_names()])).alias("width"),
-                           F.col("features").cast("string").alias("features"))
+    cells = vector_to_array("features")
+    return features.select("track_id", *[F.round(F.get(cells, F.lit(i)), 6).alias(f"z_{c}") for i, c in enumerate(feature_names())])
+
+
+_INVARIANTS = ("rows_scored", "bad_label", "bad_sum", "not_the_best", "bad_confidence", "filled_not_zero", "bad_rank")
+
+
+@query("SELECT count(*) AS rows_scored, " + ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in _INVARIANTS[1:]) + " FROM lineitem")
+def scoring_invariants(spark, sf):
+    """What every scored row must satisfy, as counts of rows that do not: labels are classes, probabilities sum to 1,
+    the label is the first best class, the confidence is its rounded percentage, a missing input is filled with 0."""
+    scored = infer.score_batch(tracks(spark, sf).drop("time_signature"), _pipeline(spark, sf))
+    chances = infer.predict_proba(scored.drop("predicted_genre", "confidence"), _pipeline(spark, sf),
+                                  keep=["track_id", "time_signature"])
+    best = F.greatest(*S.CLASSES)
+    first = F.coalesce(*[F.when(F.col(c) == best, F.lit(c)) for c in S.CLASSES])
+    ranked = infer.ranked_classes(tracks(spark, sf).drop("time_signature"), _pipeline(spark, sf), IDS, k=1)
+    rows = scored.select("track_id", "predicted_genre", "confidence").join(chances, "track_id").join(
+        ranked.select("track_id", F.col("class").alias("top")), "track_id")
+    total = sum((F.col(c) for c in S.CLASSES[1:]), F.col(S.CLASSES[0]))
+    return rows.agg(
+        F.count("*").alias("rows_scored"), F.count_if(~F.col("predicted_genre").isin(*S.CLASSES)).alias("bad_label"),
+        F.count_if(F.abs(total - 1) > 1e-9).alias("bad_sum"), F.count_if(F.col("predicted_genre") != first).alias("not_the_best"),
+        F.count_if(F.col("confidence") != F.bround(best * 100, 1)).alias("bad_confidence"),
+        F.count_if(F.col("time_signature") != 0).alias("filled_not_zero"), F.count_if(F.col("top") != first).alias("bad_rank"))
 
 
 @query(on_tracks("SELECT " + ", ".join(f"count({c}) AS {c}" for c in S.FEATURES if c != "explicit") + " FROM tracks"))
