@@ -91,7 +91,7 @@ def sample(spark):
 
 def test_predictions_are_known_classes(sample, pipeline):
     labels = [r[0] for r in infer.predict(sample, pipeline).collect()]
-    assert len(labels) == 50 and set(labels) <= set(S.CLASSES)
+    assert len(labels) == 64 and set(labels) <= set(S.CLASSES)
     codes = [r[0] for r in infer.predict(sample, pipeline, decode=False).collect()]
     assert [S.CLASSES[c] for c in codes] == labels
 
@@ -100,9 +100,9 @@ def test_probabilities(sample, pipeline):
     wide = infer.predict_proba(sample, pipeline, keep=["i"])
     assert wide.columns == ["i", *S.CLASSES]
     p = np.array([r[1:] for r in wide.collect()])
-    assert p.shape == (50, 6) and np.allclose(p.sum(axis=1), 1, atol=1e-5)
+    assert p.shape == (64, 6) and np.allclose(p.sum(axis=1), 1, atol=1e-5)
     ranked = infer.ranked_classes(sample, pipeline, ["i"]).collect()
-    assert len(ranked) == 300
+    assert len(ranked) == 64 * 6
     assert all(r["rank"] in range(1, 7) for r in ranked)
 
 
@@ -110,7 +110,7 @@ def test_batch_scoring_keeps_input_and_fills(sample, pipeline):
     out = infer.score_batch(sample.drop("tempo"), pipeline)
     assert out.columns == ["i", *[c for c in S.FEATURES if c != "tempo"], "tempo", "predicted_genre", "confidence"]
     rows = out.collect()
-    assert len(rows) == 50 and all(r["tempo"] == 0 and 0 < r["confidence"] <= 100 for r in rows)
+    assert len(rows) == 64 and all(r["tempo"] == 0 and 0 < r["confidence"] <= 100 for r in rows)
     assert all(round(r["confidence"], 1) == r["confidence"] for r in rows)
 
 
