@@ -70,7 +70,7 @@ def test_viterbi_is_the_best_of_all():
 @pytest.mark.parametrize("page,texts", [
     ("", []), ("  ", []), ("a<br>b", ["a b"]), ("<p>a<p>b", ["a", "b"]), ("<p>a <b>b<p>c</b> d", ["a b", "c d"]), ("<ul><li>a<li>b</ul>c", ["a", "b", "c"]),
     ("x<p>y &am", ["x", "y &am"]), ("<p>y</p><di", ["y"]), ("<p>y</p><!-- cut", ["y"]), ("<p>y</p></arti", ["y"]), ("<script>z", []), ("<table><tr><td>1<td>2<tr><td>3</table>", ["1", "2", "3"]),
-    ("</p></div>t</x>", ["t"]), ("1 < 2 &copy; &#65;&#x42;", ["1 < 2 © AB"]), ("<p>a\x00b</p>", ["a\x00b"]), ("<textarea>q</textarea><select><option>w</select>r", ["r"]),
+    ("</p></div>t</x>", ["t"]), ("1 < 2 &copy; &#65;&#x42;", ["1 < 2 © AB"]), ("<p>a\x00b</p>", ["a\x00b"]), ("<![foo[x]]>y<p>z", ["y", "z"]), ("<a <a <a ", []), ("<div>" * 300 + "deep", ["deep"]), ("<textarea>q</textarea><select><option>w</select>r", ["r"]),
 ])
 def test_blocks_of_odd_markup(page, texts):
     assert [b.text for b in crf.blocks(page)] == texts

@@ -40,13 +40,16 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 # Elements that a closing tag of something outside does not leave open or close across.
 WALLS = frozenset("article aside body div footer form header html main nav section table td th".split())
 
+# Elements around a place that count; pages nested deeper are read in time linear in their length.
+DEPTH = 100
 SECTIONS = frozenset("article aside footer form header main nav".split())
 # Short blocks that hold one of these words are seldom the article's.
 CUES = frozenset("advertisement comment comments cookie cookies copyright login menu newsletter privacy related reply search share "
                  "sign sponsored subscribe".split())
 
 _NAME = re.compile(r"[a-z]+")
-_CUT_TAG = re.compile(r"<[/!?a-zA-Z][^<>]{0,10000}$")
+_TAG_START = re.compile(r"<[/!?a-zA-Z]")
+_SECTION = re.compile(r"<!\[(?!CDATA\[)")
 
 
 class Block(NamedTuple):
@@ -72,8 +75,9 @@ class _Blocks(HTMLParser):
             return
         text = " ".join("".join(self.pieces).split())
         if text:
-            path = tuple((tag, names) for tag, names, _ in self.stack if tag not in INLINE)
-            label = next((x for *_, x in reversed(self.stack) if x is not None), None)
+            near = self.stack[-DEPTH:]
+            path = tuple((tag, names) for tag, names, _ in near if tag not in INLINE)
+            label = next((x for *_, x in reversed(near) if x is not None), None)
             self.blocks.append(Block(text, path, self.link_chars, label))
         self.pieces, self.link_chars = [], 0
 
@@ -93,7 +97,7 @@ class _Blocks(HTMLParser):
         if tag not in INLINE:
             self.flush()
             group = CLOSES.get(tag, ()) + (("p",) if tag in ENDS_P else ())
-            for at in range(len(self.stack) - 1, -1, -1):
+            for at in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - DEPTH), -1):
                 open_tag = self.stack[at][0]
                 if open_tag in group:
                     self._pop_to(at)
@@ -122,7 +126,7 @@ class _Blocks(HTMLParser):
             return
         if tag not in INLINE:
             self.flush()
-        for at in range(len(self.stack) - 1, -1, -1):
+        for at in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - DEPTH), -1):
             if self.stack[at][0] == tag:
                 self._pop_to(at)
                 return
@@ -141,10 +145,13 @@ class _Blocks(HTMLParser):
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order.  A tag or comment that the page's end cuts off is dropped."""
-    if (at := page.rfind("<!--")) >= 0 and page.find("-->", at) < 0:
+    last = page.rfind("-->")
+    if (at := page.find("<!--", last + 3 if last >= 0 else 0)) >= 0:
         page = page[:at]
+    if cut := _TAG_START.search(page, page.rfind(">") + 1):  # a tag that never ends
+        page = page[:cut.start()]
     parser = _Blocks()
-    parser.feed(_CUT_TAG.sub("", page[-12000:]) if len(page) <= 12000 else page[:-12000] + _CUT_TAG.sub("", page[-12000:]))
+    parser.feed(_SECTION.sub("<!", page))
     parser.close()
     parser.flush()
     return parser.blocks
