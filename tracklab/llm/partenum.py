@@ -407,7 +407,8 @@ def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         labels = components(links)
         named = nodes.join(labels, F.col("fp") == F.col("node"), "left").withColumn("_key", F.coalesce("label", key))
     named = named.select("doc_id", "n", F.when(F.col("n") > 0, F.col("_key")).alias("_key"))
-    first = named.filter("_key is not null").groupBy(F.col("_key").alias("_k")).agg(F.min("doc_id").alias("_first"))
+    # Staged, so that both sides of the join are exchanged and a hot key's rows can be split.
+    first = stage(named.filter("_key is not null").groupBy(F.col("_key").alias("_k")).agg(F.min("doc_id").alias("_first")), "join-first")
     out = named.join(first, F.col("_key") == F.col("_k"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_first", "doc_id").alias("component_id"))
 
