@@ -20,6 +20,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklab.sources.staging import stage
+
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -50,22 +52,21 @@ def linked(df: DataFrame, record_id: str, payload: str, min_bytes: int = 0) -> D
     Of rows with equal payloads of at least ``min_bytes`` bytes the largest id is the
     response; the others refer to it.  Null payloads are empty.  Rows that share the largest
     id are all responses; rows without an id refer to the largest id of their payload.
-    Payloads are grouped by SHA-256 and length: only groups of more than one row are joined
-    back, and a payload that many rows share is a skewed join key that adaptive execution
-    splits.
+    Payloads are grouped by SHA-256 and length.  Only groups of more than one row are joined
+    back; a payload that many rows share is a skewed key, which adaptive execution splits.
     """
     body = F.coalesce(F.col(payload), F.lit(""))
     rows = df.withColumns({
         "payload_bytes": F.octet_length(body).cast("long"), "payload_digest": base32_sha1(body),
         "_key": F.concat(F.sha2(body, 256), F.lit("-"), F.octet_length(body).cast("string")),
     })
-    first = (
+    # Staged, so that both sides of the join are exchanged and a hot payload's rows can be split.
+    first = stage(
         df.select(F.col(record_id).alias("_id"), body.alias("_body"))
         .filter(F.octet_length("_body") >= min_bytes)
         .select("_id", F.concat(F.sha2("_body", 256), F.lit("-"), F.octet_length("_body").cast("string")).alias("_k"))
         .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_first"))
-        .filter("_n > 1").select("_k", "_first")
-    )
+        .filter("_n > 1").select("_k", "_first"), "warc-repeated")
     out = rows.join(first, F.col("_key") == F.col("_k"), "left")
     refers = F.when(~F.col(record_id).eqNullSafe(F.col("_first")), F.col("_first"))
     return out.withColumn("refers_to", refers).drop("_key", "_k", "_first")
