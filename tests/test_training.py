@@ -211,3 +211,31 @@ def test_unlisted_queries_run(spark, sf):
 
 def test_feature_list_matches_scaled_names():
     assert scaled_names() == [f"z_{c}" for c in feature_names()]
+
+
+def test_registered_searches_do_the_whole_job(spark, sf, monkeypatch):
+    fits = []
+
+    def scores(estimators, df, *args, **kwargs):
+        fits.append(list(estimators))
+        return [(i / 100, i / 100, 1.0) for i in range(len(fits[-1]))]
+
+    monkeypatch.setattr(tuning, "cross_validate", scores)
+    names = list(models.candidate_models(1000, 6))
+    assert [r["model"] for r in QUERIES["cv_comparison"](spark, sf).collect()] == names[::-1]
+    assert [r["model"] for r in QUERIES["best_model"](spark, sf).collect()] == names[-1:]
+    for compared in map(lambda f: dict(zip(names, f)), fits):
+        assert compared["Gradient Boosting"].getMaxIter() == 200 and compared["SVM"].getClassifier().getMaxIter() == 2000
+    assert QUERIES["grid_search"](spark, sf).count() == 18 and {e.getNumTrees() for e in fits[-1]} == {150}
+    drawn = tuning.sample_params("Random Forest")
+    assert QUERIES["random_search"](spark, sf).count() == len(drawn) == 50
+    assert [(e.getNumTrees(), e.getMaxDepth()) for e in fits[-1]] == [(p["n_estimators"], p["max_depth"]) for p in drawn]
+
+
+def test_registered_boosting_has_all_rounds(spark, sf, monkeypatch):
+    def fit(self, rows):
+        raise StopIteration(self.getMaxIter())
+
+    monkeypatch.setattr(OneVsRestGBT, "_fit", fit)
+    with pytest.raises(StopIteration, match="^200$"):
+        QUERIES["boosting_predict"](spark, sf)

@@ -55,36 +55,34 @@ def _pipeline(spark, sf) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def _comparison(spark, sf):
+    rows = _search_rows(spark, sf)
+    return tuning.compare_models(models.candidate_models(_fitted_rows(rows), len(S.CLASSES)), rows)
+
+
 @query()
 def cv_comparison(spark, sf):
-    """All six candidates by 3-fold cross-validation; few boosting rounds and SVM steps keep the run short."""
-    rows = _search_rows(spark, sf)
-    candidates = models.candidate_models(_fitted_rows(rows), len(S.CLASSES), rounds=10, svm_steps=30)
-    return tuning.compare_models(candidates, rows)
+    """All six candidates by 3-fold cross-validation, with their default rounds and steps."""
+    return _comparison(spark, sf)
 
 
 @query()
 def best_model(spark, sf):
-    rows = _search_rows(spark, sf)
-    candidates = models.candidate_models(_fitted_rows(rows), len(S.CLASSES))
-    comparison = tuning.compare_models({n: candidates[n] for n in ("Logistic Regression", "KNN")}, rows)
-    return comparison.limit(1)
+    """The first row of the comparison of all six candidates."""
+    return _comparison(spark, sf).limit(1)
 
 
 @query()
 def grid_search(spark, sf):
-    rows = _search_rows(spark, sf)
-    grid = {"max_depth": [5, 10], "max_features": ["sqrt", "log2"]}
-    _, _, trials = tuning.grid_search("Random Forest", rows, 6, models.WIDTH, grid=grid, fixed={"n_estimators": 20})
+    """The forest's whole grid."""
+    _, _, trials = tuning.grid_search("Random Forest", _search_rows(spark, sf), len(S.CLASSES), models.WIDTH)
     return tuning.trial_history(spark, trials, baseline=0.0)
 
 
 @query()
 def random_search(spark, sf):
-    rows = _search_rows(spark, sf)
-    drawn = tuning.sample_params("Random Forest", 4)
-    small = [p | {"n_estimators": 10, "max_depth": min(p["max_depth"], 8)} for p in drawn]
-    _, _, trials = tuning.random_search("Random Forest", rows, 6, models.WIDTH, candidates=small)
+    """The default number of trials, drawn from the forest's whole ranges."""
+    _, _, trials = tuning.random_search("Random Forest", _search_rows(spark, sf), len(S.CLASSES), models.WIDTH)
     return tuning.trial_history(spark, trials, baseline=0.5)
 
 
@@ -122,9 +120,9 @@ def split_importance(spark, sf):
 
 @query()
 def boosting_predict(spark, sf):
-    """One-vs-rest boosted trees on the search rows, scored on the test split."""
-    prepared = _prepared(spark, sf)
-    fitted = models.boosting_from({"n_estimators": 5, "num_leaves": 16}).fit(_search_rows(spark, sf))
+    """The boosted candidate with its default rounds on the search rows, scored on the test split."""
+    prepared, rows = _prepared(spark, sf), _search_rows(spark, sf)
+    fitted = models.candidate_models(rows.count(), len(S.CLASSES))["Gradient Boosting"].fit(rows)
     scored = fitted.transform(prepared.rows.filter("split = 'test'"))
     return scored.select("track_id", "label", "prediction", F.col("probability").cast("string").alias("probability"))
 
