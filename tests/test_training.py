@@ -239,3 +239,8 @@ def test_registered_boosting_has_all_rounds(spark, sf, monkeypatch):
     monkeypatch.setattr(OneVsRestGBT, "_fit", fit)
     with pytest.raises(StopIteration, match="^200$"):
         QUERIES["boosting_predict"](spark, sf)
+
+
+def test_scoring_uses_the_full_forest(pipeline):
+    forest = pipeline.stages[-2]
+    assert (forest.getNumTrees, forest.getOrDefault("maxDepth")) == (100, models.DEEPEST_TREE)

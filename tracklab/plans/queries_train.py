@@ -9,7 +9,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -45,9 +44,10 @@ def _fitted_rows(rows) -> int:
 
 @lru_cache(maxsize=4)
 def _pipeline(spark, sf) -> PipelineModel:
-    """A forest fitted on train plus validation rows, saved and loaded again."""
+    """The full forest candidate fitted on train plus validation rows, saved and loaded again."""
     prepared = _prepared(spark, sf)
-    forest = RandomForestClassifier(numTrees=20, maxDepth=10, seed=S.SEED)
+    rows = prepared.rows.filter("split IN ('train', 'val')").count()
+    forest = models.candidate_models(rows, len(S.CLASSES))["Random Forest"]
     fitted = models.fit_final(forest, prepared.rows)
     scoring = infer.bundle(prepared.preprocessor, fitted, models.label_decoder(prepared.labels))
     path = scratch_dir(spark, "scoring-pipeline")
