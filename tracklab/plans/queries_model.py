@@ -278,6 +278,12 @@ def mi_knn_ranged(spark, sf):
     return rounded(scores, ["mutual_info"])
 
 
+@query(on_tracks(_MI_OUT, *_knn_mi_sql(unpivot("tracks", _CONTINUOUS, "signal_genre AS cls"))))
+def mi_knn_ranged_all(spark, sf):
+    """All continuous features by the path for large groups."""
+    return rounded(I.knn_mi(tracks(spark, sf, busy=True), _CONTINUOUS, "signal_genre", plain_rows=0), ["mutual_info"])
+
+
 _CLASS_SAMPLE = """picked AS (SELECT track_genre FROM (SELECT DISTINCT track_genre FROM tracks WHERE track_genre IS NOT NULL)
  ORDER BY md5(concat_ws('|', track_genre, '42')), track_genre LIMIT 10)"""
 
@@ -327,7 +333,7 @@ _SUMMARY_STATS = " UNION ALL ".join(
 _SUMMARY_COLUMNS = ["track_id", "track_name", *S.FEATURES, "super_genre"]
 
 
-@query(on_tracks(
+_SUMMARY_SQL = (
     "SELECT section, key, metric, round(value, 6) AS value FROM (" + " UNION ALL ".join([
         "SELECT 'overview' AS section, 'table' AS key, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM mapped",
         f"SELECT 'overview', 'table', 'columns', CAST({len(_SUMMARY_COLUMNS)} AS DOUBLE)",
@@ -340,10 +346,23 @@ _SUMMARY_COLUMNS = ["track_id", "track_name", *S.FEATURES, "super_genre"]
         "SELECT 'target', super_genre, 'percentage', round_even(n / (SELECT count(*) FROM mapped) * 100, 2) FROM counts",
         _SUMMARY_STATS,
         "SELECT 'importance', feature, 'mutual_info', mi FROM scores",
-    ]) + ")", TAXONOMY, MAPPED, "counts AS (SELECT super_genre, count(*) AS n FROM mapped GROUP BY super_genre)",
-    *_mi_sql(unpivot("mapped", ["key", "mode"], "super_genre AS cls"))))
+    ]) + ")", TAXONOMY, MAPPED, "counts AS (SELECT super_genre, count(*) AS n FROM mapped GROUP BY super_genre)")
+
+
+@query(on_tracks(*_SUMMARY_SQL, *_mi_sql(unpivot("mapped", ["key", "mode"], "super_genre AS cls"))))
 def eda_summary(spark, sf):
     mapped = C.map_taxonomy(C.drop_null_target(tracks(spark, sf, busy=True)), out="super_genre")
     rows = mapped.select(*_SUMMARY_COLUMNS)
     scores = I.discrete_mi(rows, ["key", "mode"], "super_genre")
     return rounded(eda.eda_summary(rows, "super_genre", scores), ["value"])
+
+
+_NUMERIC = [c for c in S.FEATURES if c != "explicit"]
+
+
+@query(on_tracks(*_SUMMARY_SQL, *_knn_mi_sql(" UNION ALL ".join(
+    f"SELECT super_genre AS cls, '{c}' AS feature, coalesce(CAST({c} AS DOUBLE), 0) AS value FROM mapped" for c in _NUMERIC))))
+def eda_summary_knn(spark, sf):
+    """The report with the operator's own scores: the neighbour estimate of all numeric features, missing cells as 0."""
+    mapped = C.map_taxonomy(C.drop_null_target(tracks(spark, sf, busy=True)), out="super_genre")
+    return rounded(eda.eda_summary(mapped.select(*_SUMMARY_COLUMNS), "super_genre"), ["value"])
