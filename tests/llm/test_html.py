@@ -76,6 +76,17 @@ def test_blocks_of_odd_markup(page, texts):
     assert [b.text for b in crf.blocks(page)] == texts
 
 
+@pytest.mark.parametrize("page,texts", [
+    ('<script>document.write("<!--")</script><p>a</p>', ["a"]), ("<style><!-- p {} </style><p>a</p>", ["a"]), ("<p>x</p><textarea><!-- </textarea><p>a</p>", ["x", "a"]),
+    ("<div title='<!--'><p>a</p></div>b", ["a", "b"]), ("<head><title>Of <!-- marks</title></head><p>a</p>", ["a"]), ("<title>b &amp; c <!--</title><p>a</p>", ["b & c <!--", "a"]),
+    ("<p>a</p><!-- <p>b</p>", ["a"]), ("<!-- x --><p>a</p><!-- cut <p>b</p>", ["a"]), ("<!--><p>a</p>", ["a"]), ("<!-- x --!><p>a</p>", ["a"]),
+    ("<textarea>q<p>a</p>", []), ("<title>q<p>a</p>", ["q", "a"]), ("<script><!--</script><p>a</p><![CDATA[ x ><p>b</p><!-- <p>c</p>", None),
+])
+def test_comments_that_never_end(page, texts):
+    got = [b.text for b in crf.blocks(page)]
+    assert got == texts if texts is not None else "a" in got and "c" not in got
+
+
 def test_nulls_repeats_long_and_clashes(frame, field):
     long = "<article><h1>T</h1>" + "<p>Some words of a paragraph, over and over.</p>" * 20_000 + "</article>"
     df = frame([(1, None, 5), (1, None, 5), (2, "", 6), (3, long, 7), (None, "<article><p>Hello to you, reader.</p></article>", 8)], "page_id long, html string, n_chars long")

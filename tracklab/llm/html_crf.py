@@ -50,6 +50,9 @@ CUES = frozenset("advertisement comment comments cookie cookies copyright login
 _NAME = re.compile(r"[a-z]+")
 _TAG_START = re.compile(r"<[/!?a-zA-Z]")
 _SECTION = re.compile(r"<!\[(?!CDATA\[)")
+_EMPTY_COMMENT, _COMMENT_END = re.compile(r"<!---?>"), re.compile(r"--(?:\s*|!)>")
+# Elements whose text is no markup, if their closing tag follows; script and style are so always.
+_RAW_END = {tag: re.compile(rf"</\s*{tag}\s*>", re.I) for tag in ("iframe", "textarea", "title")}
 
 
 class Block(NamedTuple):
@@ -62,8 +65,11 @@ class Block(NamedTuple):
 class _Blocks(HTMLParser):
     """Collects leaf blocks with the path of their elements: (tag, words of class, id and role)."""
 
+    CDATA_CONTENT_ELEMENTS = ("script", "style", *_RAW_END)
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
+        self.at, self.raw_until = 0, {}
         self.blocks: list[Block] = []
         self.stack: list[tuple[str, tuple[str, ...], int | None]] = []
         self.unseen = self.links = 0
@@ -87,6 +93,24 @@ class _Blocks(HTMLParser):
             self.links -= tag == "a"
         del self.stack[at:]
 
+    def parse_comment(self, i, report=1):
+        """The end of a comment; one that never ends takes the rest of the page."""
+        end = _EMPTY_COMMENT.match(self.rawdata, i) or _COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_starttag(self, i):
+        self.at = i
+        return super().parse_starttag(i)
+
+    def set_cdata_mode(self, elem):
+        if elem in _RAW_END:
+            if elem not in self.raw_until:  # from the end, since the text before a rest may be gone
+                last = max((m.start() for m in _RAW_END[elem].finditer(self.rawdata, self.at)), default=-1)
+                self.raw_until[elem] = len(self.rawdata) - last if last >= 0 else len(self.rawdata) + 1
+            if len(self.rawdata) - self.at <= self.raw_until[elem]:
+                return
+        super().set_cdata_mode(elem)
+
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
             if tag == "hr":
@@ -138,6 +162,8 @@ class _Blocks(HTMLParser):
     def handle_data(self, data):
         if self.unseen:
             return
+        if self.cdata_elem == "title":
+            data = entities.unescape(data)
         self.pieces.append(data)
         if self.links:
             self.link_chars += len(data.strip())
@@ -145,9 +171,6 @@ class _Blocks(HTMLParser):
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order.  A tag or comment that the page's end cuts off is dropped."""
-    last = page.rfind("-->")
-    if (at := page.find("<!--", last + 3 if last >= 0 else 0)) >= 0:
-        page = page[:at]
     if cut := _TAG_START.search(page, page.rfind(">") + 1):  # a tag that never ends
         page = page[:cut.start()]
     parser = _Blocks()
