@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 
@@ -87,6 +88,23 @@ def test_comments_that_never_end(page, texts):
     assert got == texts if texts is not None else "a" in got and "c" not in got
 
 
+def test_elements_of_any_depth():
+    assert [b.text for b in crf.blocks("<p>a</p><svg>" + "<path d=x>" * 300 + "</svg><p>b</p>")] == ["a", "b"]
+    assert [(b.text, b.link_chars) for b in crf.blocks("<nav>" + "<a href=x>m" * 150 + "</nav><p>article</p>")] == [("m" * 150, 150), ("article", 0)]
+    deep = crf.blocks("<nav class='menu'><article data-label='1'>" + "<div>" * 500 + "t")
+    assert {"in=nav", "in=article", "name=menu", "sect=article", "own=menu"} <= set(crf.block_features(deep[0], 0, 1)) and deep[0].label == 1
+
+
+def test_deep_pages_take_linear_time():
+    spent = []
+    for n in (4_000, 40_000):
+        start = time.process_time()
+        page = crf.blocks("".join(f"<x{i} class=c{chr(97 + i % 26)}>t" for i in range(n)) + "</p></y>" * n)
+        crf.labels(crf.Field({"in=x0": 1.0}, [[0.0, 0.0], [0.0, 0.0]]), page)
+        spent.append(time.process_time() - start)
+    assert len(page) == 40_000 and spent[1] < 40 * spent[0]
+
+
 def test_nulls_repeats_long_and_clashes(frame, field):
     long = "<article><h1>T</h1>" + "<p>Some words of a paragraph, over and over.</p>" * 20_000 + "</article>"
     df = frame([(1, None, 5), (1, None, 5), (2, "", 6), (3, long, 7), (None, "<article><p>Hello to you, reader.</p></article>", 8)], "page_id long, html string, n_chars long")

@@ -39,9 +39,8 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
                    "header hr main nav ol p pre section table ul".split())
 # Elements that a closing tag of something outside does not leave open or close across.
 WALLS = frozenset("article aside body div footer form header html main nav section table td th".split())
+LISTS = frozenset("dl ol ul".split())
 
-# Elements around a place that count; pages nested deeper are read in time linear in their length.
-DEPTH = 100
 SECTIONS = frozenset("article aside footer form header main nav".split())
 # Short blocks that hold one of these words are seldom the article's.
 CUES = frozenset("advertisement comment comments cookie cookies copyright login menu newsletter privacy related reply search share "
@@ -55,15 +54,60 @@ _EMPTY_COMMENT, _COMMENT_END = re.compile(r"<!---?>"), re.compile(r"--(?:\s*|!)>
 _RAW_END = {tag: re.compile(rf"</\s*{tag}\s*>", re.I) for tag in ("iframe", "textarea", "title")}
 
 
+class Place:
+    """The elements around a block, inline ones aside.
+
+    A place holds what its element adds to the features of the place ``up`` around it, so
+    places of any depth take memory and time linear in the page.
+    """
+
+    __slots__ = ("up", "leaf", "own", "section", "new", "score")
+
+    def __init__(self, up: Place | None, leaf: str, own: tuple[str, ...], section: str, new: tuple[str, ...]):
+        self.up, self.leaf, self.own, self.section, self.new = up, leaf, own, section, new
+        self.score: tuple[dict[str, float], float] | None = None
+
+    def features(self) -> Iterator[str]:
+        place = self
+        while place:
+            yield from place.new
+            place = place.up
+
+    def scored(self, weights: dict[str, float]) -> float:
+        """Sum of the weights of all features; remembered for the last weights asked for."""
+        waiting, place = [], self
+        while place and not (place.score and place.score[0] is weights):
+            waiting.append(place)
+            place = place.up
+        total = place.score[1] if place else 0.0
+        for place in reversed(waiting):
+            total += sum(weights.get(f, 0.0) for f in place.new)
+            place.score = weights, total
+        return total
+
+
 class Block(NamedTuple):
     text: str
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    place: Place | None
     link_chars: int
     label: int | None
 
 
+class Element(NamedTuple):
+    """An open element: its tag, the place and label inside it, and the features that it opened."""
+
+    tag: str
+    place: Place | None
+    label: int | None
+    new: tuple[str, ...]
+
+
 class _Blocks(HTMLParser):
-    """Collects leaf blocks with the path of their elements: (tag, words of class, id and role)."""
+    """Collects leaf blocks with the place of their elements.
+
+    Positions of open elements are kept by tag and by kind, so the element that a tag closes
+    is found at once at any depth.
+    """
 
     CDATA_CONTENT_ELEMENTS = ("script", "style", *_RAW_END)
 
@@ -71,7 +115,12 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.at, self.raw_until = 0, {}
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, tuple[str, ...], int | None]] = []
+        self.stack: list[Element] = []
+        self.open: dict[str, list[int]] = {}
+        self.solid: list[int] = []  # not inline
+        self.walls: list[int] = []
+        self.stops: list[int] = []  # walls and lists
+        self.held: set[str] = set()  # features of the open elements
         self.unseen = self.links = 0
         self.pieces: list[str] = []
         self.link_chars = 0
@@ -81,17 +130,43 @@ class _Blocks(HTMLParser):
             return
         text = " ".join("".join(self.pieces).split())
         if text:
-            near = self.stack[-DEPTH:]
-            path = tuple((tag, names) for tag, names, _ in near if tag not in INLINE)
-            label = next((x for *_, x in reversed(near) if x is not None), None)
-            self.blocks.append(Block(text, path, self.link_chars, label))
+            top = self.stack[-1] if self.stack else Element("", None, None, ())
+            self.blocks.append(Block(text, top.place, self.link_chars, top.label))
         self.pieces, self.link_chars = [], 0
 
+    def _push(self, tag: str, names: list[str], label: int | None) -> None:
+        at, top = len(self.stack), self.stack[-1] if self.stack else Element("", None, None, ())
+        place, new = top.place, ()
+        if tag not in INLINE:
+            said = dict.fromkeys(["in=" + tag, *(f for name in names for f in ("name=" + name, "stem=" + name[:5]))])
+            new = tuple(f for f in said if f not in self.held)
+            self.held.update(new)
+            place = Place(place, tag, tuple(names) or (place.own if place else ()),
+                          tag if tag in SECTIONS else place.section if place else "none", new)
+            self.solid.append(at)
+            if tag in WALLS:
+                self.walls.append(at)
+            if tag in WALLS or tag in LISTS:
+                self.stops.append(at)
+        self.open.setdefault(tag, []).append(at)
+        self.stack.append(Element(tag, place, top.label if label is None else label, new))
+        self.unseen += tag in UNSEEN
+        self.links += tag == "a"
+
     def _pop_to(self, at: int) -> None:
-        for tag, *_ in self.stack[at:]:
+        while len(self.stack) > at:
+            tag, *_, new = self.stack.pop()
+            self.open[tag].pop()
+            self.held.difference_update(new)
+            for kind in (self.solid, self.walls, self.stops):
+                if kind and kind[-1] == len(self.stack):
+                    kind.pop()
             self.unseen -= tag in UNSEEN
             self.links -= tag == "a"
-        del self.stack[at:]
+
+    def _last(self, tag: str) -> int:
+        """Position of the innermost open element of a tag, -1 without one."""
+        return self.open[tag][-1] if self.open.get(tag) else -1
 
     def parse_comment(self, i, report=1):
         """The end of a comment; one that never ends takes the rest of the page."""
@@ -121,13 +196,9 @@ class _Blocks(HTMLParser):
         if tag not in INLINE:
             self.flush()
             group = CLOSES.get(tag, ()) + (("p",) if tag in ENDS_P else ())
-            for at in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - DEPTH), -1):
-                open_tag = self.stack[at][0]
-                if open_tag in group:
-                    self._pop_to(at)
-                    break
-                if open_tag in WALLS or open_tag in ("ul", "ol", "dl"):
-                    break
+            at = max(map(self._last, group), default=-1)
+            if at >= 0 and not (self.stops and self.stops[-1] > at):
+                self._pop_to(at)
         names, label = [], None
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
@@ -136,9 +207,7 @@ class _Blocks(HTMLParser):
                 label = int(value)
             elif key == "hidden" or (key == "style" and value and "display:none" in value.replace(" ", "").lower()):
                 names.append("hidden")
-        self.stack.append((tag, tuple(names), label))
-        self.unseen += tag in UNSEEN
-        self.links += tag == "a"
+        self._push(tag, names, label)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -150,14 +219,12 @@ class _Blocks(HTMLParser):
             return
         if tag not in INLINE:
             self.flush()
-        for at in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - DEPTH), -1):
-            if self.stack[at][0] == tag:
-                self._pop_to(at)
-                return
-            if tag in INLINE and self.stack[at][0] not in INLINE:
-                return  # a stray end of an inline element
-            if tag == "p" and self.stack[at][0] in WALLS:
-                return
+        at = self._last(tag)
+        if at < 0 or (tag in INLINE and self.solid and self.solid[-1] > at):
+            return  # a stray end
+        if tag == "p" and self.walls and self.walls[-1] > at:
+            return
+        self._pop_to(at)
 
     def handle_data(self, data):
         if self.unseen:
@@ -184,9 +251,9 @@ def _bucket(n: int) -> int:
     return min(int(math.log2(n + 1)), 9)
 
 
-def block_features(block: Block, place: int, of: int, known_tags: bool = True) -> list[str]:
-    """Names of the features of a block.  ``known_tags`` off hides what sectioning tags say."""
-    text, path = block.text, block.path
+def own_features(block: Block, place: int, of: int, known_tags: bool = True) -> set[str]:
+    """Names of the features of a block but those that any element around it gives."""
+    text = block.text
     words = text.split()
     out = {"bias", f"len={_bucket(len(words))}", f"link={min(3, 4 * block.link_chars // max(len(text), 1))}",
            f"end={text[-1] if text[-1] in '.!?:;,…»>|' else 'x'}", f"commas={min(text.count(','), 3)}"}
@@ -198,20 +265,20 @@ def block_features(block: Block, place: int, of: int, known_tags: bool = True) -
         out.add("last" if place else "first")
     if len(words) <= 8:
         out.update("cue=" + w for w in {w.lower().strip(".,:!?") for w in words} & CUES)
-    if path:
-        leaf = path[-1][0]
+    if block.place:
+        leaf = block.place.leaf
         out.add("leaf=" + (leaf if known_tags or leaf in ("p", "li", "div", "td") or leaf[0] == "h" else "div"))
-    # the innermost element that says something outweighs those around it
-    out.update("own=" + name[:5] for name in next((ns for _, ns in reversed(path) if ns), ()))
+        # the innermost element that says something outweighs those around it
+        out.update("own=" + name[:5] for name in block.place.own)
     if known_tags:
-        out.add("sect=" + next((tag for tag, _ in reversed(path) if tag in SECTIONS), "none"))
-    for tag, names in path:
-        if known_tags:
-            out.add("in=" + tag)
-        for name in names:
-            out.add("name=" + name)
-            out.add("stem=" + name[:5])
-    return sorted(out)
+        out.add("sect=" + (block.place.section if block.place else "none"))
+    return out
+
+
+def block_features(block: Block, place: int, of: int, known_tags: bool = True) -> list[str]:
+    """Names of the features of a block.  ``known_tags`` off hides what sectioning tags say."""
+    around = block.place.features() if block.place else ()
+    return sorted(own_features(block, place, of, known_tags).union(f for f in around if known_tags or not f.startswith("in=")))
 
 
 class Field(NamedTuple):
@@ -244,7 +311,8 @@ def viterbi(scores: list[float], moves: list[list[float]]) -> list[int]:
 
 def labels(field: Field, page: list[Block]) -> list[int]:
     get = field.weights.get
-    scores = [sum(get(f, 0.0) for f in block_features(b, i, len(page))) for i, b in enumerate(page)]
+    scores = [math.fsum(get(f, 0.0) for f in own_features(b, i, len(page))) + (b.place.scored(field.weights) if b.place else 0.0)
+              for i, b in enumerate(page)]
     return viterbi(scores, field.moves)
 
 
@@ -393,11 +461,10 @@ def built_pages(sentences: list[str], count: int = BUILT_PAGES, seed: int = SEED
 
 def marked_label(block: Block) -> int:
     """Label of a block of a page whose markup says what is an article: the teacher on real pages."""
-    tags = {tag for tag, _ in block.path}
-    names = {n for _, ns in block.path for n in ns}
-    outside = tags & {"nav", "footer", "aside", "form"} or names & {
-        "ad", "ads", "advert", "banner", "comment", "comments", "cookie", "sidebar", "menu", "promo", "related", "share"}
-    return int("article" in tags and not outside)
+    around = set(block.place.features()) if block.place else set()
+    outside = around & ({"in=" + tag for tag in ("nav", "footer", "aside", "form")} | {"name=" + name for name in (
+        "ad", "ads", "advert", "banner", "comment", "comments", "cookie", "sidebar", "menu", "promo", "related", "share")})
+    return int("in=article" in around and not outside)
 
 
 def train(pages: DataFrame, html: str = "html", rows: int = TRAIN_PAGES) -> Field:
