@@ -119,3 +119,27 @@ def test_key_matters_and_nulls_and_clashes(frame):
     out = pii.pseudonymised(clash).collect()[0]
     assert (out["_found"], out["_new"], out["n_private"]) == ("keep", "me", 1)
     assert pii.pseudonymised(frame([], "doc_id long, text string", 1)).count() == 0
+
+
+def test_common_written_forms(frame):
+    phones = [("1-800-555-1234", 1), ("555 123 4567", 0), ("1 (800) 555-1234", 1), ("1(800) 555-1234", 1), ("1 800.555.1234", 1), ("212-555-0199", 0)]
+    values = [p for p, _ in phones]
+    want = [laid_out(p, (d := re.sub(r"\D", "", p))[:keep] + plain_digits(d[keep:], "phone")) for p, keep in phones]
+    first = datetime.date(1900, 1, 1)
+    for text, day, form in (("12/25/1980", (1980, 12, 25), "{m:02}/{d:02}/{y}"), ("5/7/1990", (1990, 7, 5), "{d}/{m}/{y}"), ("5.7.1990", (1990, 7, 5), "{d}.{m}.{y}"),
+                            ("1/31/2001", (2001, 1, 31), "{m}/{d}/{y}"), ("05/07/1990", (1990, 7, 5), "{d:02}/{m:02}/{y}")):
+        n = (datetime.date(*day) - first).days
+        x, y = plain_feistel(n // 270, n % 270, 270, 270, "date")
+        new = first + datetime.timedelta(days=x * 270 + y)
+        values.append(text)
+        want.append(form.format(d=new.day, m=new.month, y=new.year))
+    assert rewritten(frame, [f"see {v}, or {v}!" for v in values]) == [(f"see {w}, or {w}!", 2) for w in want]
+    stay = ["12.25.1980", "13/32/1980", "0/5/1990", "1/1/1899", "1-2/1990"]
+    assert rewritten(frame, stay) == [(t, 0) for t in stay]
+
+
+def test_marks_around_emails(frame):
+    texts = ["jo@x.com", "_jo@x.com", "--jo@x.com", "...jo@x.com", "+jo@x.com", "a" + "-" * 90 + "jo@x.com", "-" * 200 + "jo@x.com", "--@x.com"]
+    got = rewritten(frame, texts)
+    assert [n for _, n in got] == [1] * 7 + [0] and all("jo@" not in t for t, _ in got)
+    assert got[2][0] == "--" + got[0][0] and got[3][0] == "..." + got[0][0] and got[5][0].endswith("--" + got[0][0])

@@ -16,15 +16,17 @@ ROUNDS = 8
 KEY = "replace-this-key"
 
 # The formats, in the order in which they are tried.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}"
+# An address starts where a run of its characters does, dots and dashes before it aside, or after two marks.
+EMAIL = (r"(?:(?<![A-Za-z0-9._%+-])[.-]*+|(?<=[._%+-]{2})(?=[A-Za-z0-9]))"
+         r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}")
 SECRET = r"(?<![A-Za-z0-9])(?=[a-fA-F]{0,63}[0-9])(?=[0-9]{0,63}[a-fA-F])[0-9a-fA-F]{32,64}(?![A-Za-z0-9])"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])"
-DAY_DATE = r"(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9]|[./][0-9])"
+DAY_DATE = r"(?<![0-9./])[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4}(?![0-9]|[./][0-9])"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = (r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
-         r"|(?<![0-9)])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-         r"|(?<![0-9.-])[0-9]{3}([.-])[0-9]{3}\2[0-9]{4}(?![0-9]|[.-][0-9])")
+         r"|(?<![0-9)])(?:1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+         r"|(?<![0-9.-])(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\2[0-9]{4}(?![0-9]|[.-][0-9])")
 CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5})(?![0-9])")
 ANY = "|".join([EMAIL, SECRET, ISO_DATE, DAY_DATE, IP, SSN, PHONE, CARD])
 POWERS = [10 ** i for i in range(19)]
@@ -153,18 +155,29 @@ def ssn(m: Column, key: str) -> Column:
     return F.element_at(F.transform(F.array(out), written), 1)
 
 
+def _days(year: Column, month: Column, day: Column) -> Column:
+    """Days since ``FIRST_DAY``; null if it is no date or not among the permuted days."""
+    date = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
+    n = F.datediff(date, F.lit(FIRST_DAY).cast("date")).cast("long")
+    return F.when(n.between(0, DAYS_A * DAYS_B - 1), n)
+
+
+def _day_first(m: Column) -> Column:
+    parts = F.split(m, "[./]")
+    return _days(F.get(parts, F.lit(2)), F.get(parts, F.lit(1)), F.get(parts, F.lit(0)))
+
+
 def day_number(m: Column) -> Column:
-    """Days since ``FIRST_DAY`` of a yyyy-mm-dd, dd.mm.yyyy or dd/mm/yyyy date; null if it is none."""
-    iso = m.substr(5, 1) == "-"
-    year = F.when(iso, m.substr(1, 4)).otherwise(m.substr(7, 4))
-    month = F.when(iso, m.substr(6, 2)).otherwise(m.substr(4, 2))
-    day = F.when(iso, m.substr(9, 2)).otherwise(m.substr(1, 2))
-    date = F.concat_ws("-", year, month, day).try_cast("date")
-    return F.datediff(date, F.lit(FIRST_DAY).cast("date")).cast("long")
+    """Days since ``FIRST_DAY`` of a yyyy-mm-dd, dd.mm.yyyy or dd/mm/yyyy date, or of a mm/dd/yyyy date that is no
+    dd/mm/yyyy date; null if it is none."""
+    parts = F.split(m, "/")
+    month_first = _days(F.get(parts, F.lit(2)), F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))
+    return F.when(m.substr(5, 1) == "-", _days(m.substr(1, 4), m.substr(6, 2), m.substr(9, 2))).otherwise(
+        F.coalesce(_day_first(m), month_first))
 
 
 def is_date(m: Column) -> Column:
-    return F.coalesce(day_number(m).between(0, DAYS_A * DAYS_B - 1), F.lit(False))
+    return day_number(m).isNotNull()
 
 
 def date(m: Column, key: str) -> Column:
@@ -174,18 +187,24 @@ def date(m: Column, key: str) -> Column:
 
     def written(s: Column) -> Column:
         d = F.date_add(F.lit(FIRST_DAY).cast("date"), (s["x"] * DAYS_B + s["y"]).cast("int"))
+        # without leading zeros where the match has none
+        short = F.rlike(m, F.lit("^[0-9][./]|[./][0-9][./]"))
+        day = F.when(short, F.date_format(d, "d")).otherwise(F.date_format(d, "dd"))
+        month = F.when(short, F.date_format(d, "M")).otherwise(F.date_format(d, "MM"))
+        mark, day_first = F.regexp_extract(m, "[./]", 0), _day_first(m).isNotNull()
         return F.when(m.substr(5, 1) == "-", F.date_format(d, "yyyy-MM-dd")).otherwise(F.concat(
-            F.date_format(d, "dd"), m.substr(3, 1), F.date_format(d, "MM"), m.substr(3, 1), F.date_format(d, "yyyy")))
+            F.when(day_first, day).otherwise(month), mark, F.when(day_first, month).otherwise(day), mark, F.date_format(d, "yyyy")))
 
     return F.element_at(F.transform(F.array(out), written), 1)
 
 
 def email(m: Column, key: str) -> Column:
-    """Keyed names for the local part and the domain, which both stay linked; the top level stays."""
-    low = F.lower(m)
+    """Keyed names for the local part and the domain, which both stay linked; the top level and dots and dashes before the address stay."""
+    marks = F.regexp_extract(m, "^[.-]*", 0)
+    low = F.lower(F.regexp_replace(m, "^[.-]+", ""))
     domain = F.regexp_extract(low, "@(.*)$", 1)
     name = lambda kind, v, n: F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), v), 256), 1, n)
-    return F.concat(F.lit("u"), name("email", low, 12), F.lit("@d"), name("domain", domain, 8), F.regexp_extract(low, r"\.[a-z]+$", 0))
+    return F.concat(marks, F.lit("u"), name("email", low, 12), F.lit("@d"), name("domain", domain, 8), F.regexp_extract(low, r"\.[a-z]+$", 0))
 
 
 def secret(m: Column, key: str) -> Column:
@@ -203,10 +222,10 @@ def pseudonym(m: Column, key: str) -> Column:
     kinds = [
         (F.contains(m, F.lit("@")), email(m, key)),
         (_is(m, "[0-9a-fA-F]{32,64}"), secret(m, key)),
-        (_is(m, r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4}"), F.when(is_date(m), date(m, key))),
+        (_is(m, r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}"), F.when(is_date(m), date(m, key))),
         (_is(m, r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"), F.when(is_ip(m), ip(m, key))),
         (_is(m, "[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(is_ssn(m), ssn(m, key))),
-        (F.rlike(m, F.lit(r"^[+(]|^[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}$")), F.when(F.length(d).between(7, 15), phone(m, key))),
+        (F.rlike(m, F.lit(r"^[+(]|^1[ .-]?\(|^(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}$")), F.when(F.length(d).between(7, 15), phone(m, key))),
     ]
     out = F.when(kinds[0][0], kinds[0][1])
     for condition, value in kinds[1:]:
