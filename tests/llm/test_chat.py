@@ -63,3 +63,12 @@ def test_nulls_repeats_ties_and_clashes(frame):
     clash = frame([(1, 0, "a", "x", "y")], "conv_id long, turn long, role string, text string, path string", 1)
     assert [r.path for r in chat.linked(clash).collect()] == [[0]]
     assert chat.conversations(frame([], SCHEMA, 1)).count() == 0
+
+
+def test_short_lines_are_linked(frame):
+    rows = [(1, 0, "a", "ok\nthanks a lot for this\nbye"), (1, 1, "b", "yes\nno\nok"), (1, 2, "c", "> no\nreally"), (1, 3, "d", "> yes\n> no\nwhich"),
+            (1, 4, "a", "is it\nyes\nso it is here"), (1, 5, "b", "> ok\nfine"), (1, 6, "b", "> is it\n> yes\nhm"), (1, 7, "b", "> thanks a lot for this\n> yes\nwell"),
+            (1, 8, "c", "你好\n谢谢\n再见"), (1, 9, "d", "> 谢谢\n不客气")]
+    got = by_turn(chat.linked(frame(rows, SCHEMA)))
+    assert {t: got[1, t].reply_to for t in (2, 3, 5, 6, 7, 9)} == {2: 1, 3: 1, 5: 0, 6: 4, 7: 0, 9: 8}
+    assert all(got[1, t].n_linked == 1 for t in (2, 3, 5, 6, 7, 9))

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window as W
 
 from tracklab.sources.staging import stage
 
-# A line is a unit of its own if it has so many normalised characters.
+# Lines with fewer normalised characters decide only where nothing wider is found.
 LINE_CHARS = 12
 # Ends of the line that announces a quote.
 ANNOUNCES = r"(?:wrote|writes|said|schrieb|a écrit|écrit|escribió) ?:$"
@@ -49,12 +49,18 @@ def _passages(lines: DataFrame) -> DataFrame:
 
 
 def _units(passages: DataFrame) -> DataFrame:
-    """A row per unit of a passage: the whole, its paragraphs and its longer lines, each as a hash."""
-    parts = F.concat(
-        F.array(F.col("text")), F.split("text", r"\n[ \t]*\n"),
-        F.filter(F.split("text", "\n"), lambda x: F.length(normal(x)) >= LINE_CHARS))
-    hashes = F.array_distinct(F.transform(F.filter(F.transform(parts, normal), lambda x: x != ""), lambda x: F.sha2(x, 256)))
-    return passages.withColumn("unit", F.explode(hashes))
+    """A row per unit of a passage, as a hash, and its ``kind``: 0 the whole, 1 its paragraphs, 2 pairs of lines, 3 lines, 4 short lines."""
+    lines = F.transform(F.split("text", "\n"), normal)
+    pairs = F.flatten(F.transform(F.array(lines), lambda n: F.zip_with(
+        n, F.slice(n, 2, F.size(n)), lambda a, b: F.when((a != "") & (b != ""), F.concat_ws(" ", a, b)))))
+    of_kind = lambda texts, kind: F.transform(texts, lambda x: F.struct(kind(x).cast("int").alias("kind"), x.alias("text")))
+    units = F.concat(
+        of_kind(F.array(normal(F.col("text"))), lambda x: F.lit(0)),
+        of_kind(F.transform(F.split("text", r"\n[ \t]*\n"), normal), lambda x: F.lit(1)),
+        of_kind(pairs, lambda x: F.lit(2)),
+        of_kind(lines, lambda x: F.when(F.length(x) >= LINE_CHARS, 3).otherwise(4)))
+    hashes = F.transform(F.filter(units, lambda u: u["text"] != ""), lambda u: F.struct(u["kind"], F.sha2(u["text"], 256).alias("unit")))
+    return passages.withColumn("_u", F.explode(F.array_distinct(hashes))).select("*", "_u.kind", "_u.unit").drop("_u")
 
 
 def _without_quotes(text: Column) -> Column:
@@ -82,8 +88,9 @@ def links(messages: DataFrame) -> DataFrame:
     runs = passages.filter("level = 0").select("conv", "turn", "text")
     said = _units(own.unionAll(runs)).groupBy(F.col("conv").alias("_c"), F.col("unit").alias("_u")).agg(F.min("turn").alias("said"))
     found = quotes.join(said, F.col("conv").eqNullSafe(F.col("_c")) & (F.col("unit") == F.col("_u")) & (F.col("said") < F.col("turn")), "left")
-    # All units of a passage are copies of what one message said; the latest of their origins is the quoted message.
-    return found.groupBy("conv", "turn", "msg", "level", "first").agg(F.max("said").alias("original"))
+    # Units of a passage are copies of what one message said; the latest origin of the widest kind is the quoted message.
+    widest = F.min(F.when(F.col("said").isNotNull(), F.struct("kind", (-F.col("said")).alias("back"))))
+    return found.groupBy("conv", "turn", "msg", "level", "first").agg((-widest["back"]).alias("original"))
 
 
 def linked(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
