@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklab.llm import decontam, mixing, quality, tokens, warc
+from tracklab.llm import bpe_codec, decontam, mixing, quality, tokens, warc
 from tracklab.llm.common import query, table
 from tracklab.session import scratch_dir
 from tracklab.sources.staging import stage
@@ -144,3 +144,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of benchmark items: one row per document and item found in it."""
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token numbers of every document and the bytes that they decode to, as digests."""
+    tables = bpe_codec.load(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = bpe_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tables).drop("text")
+    return bpe_codec.decode(coded, tables).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
