@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracklab.llm import partenum
+from tracklab.llm import hard_negatives, partenum
 from tracklab.llm.common import query, table
 
 # Words by ASCII white space, A-Z in lower case; equal shingle lists are compared once.
@@ -46,3 +47,34 @@ FROM d LEFT JOIN member USING (rid) LEFT JOIN root USING (cid)
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of similar documents, three-word shingles at 90 percent, for every document."""
     return partenum.join_components(table(spark, sf_dir, "documents"))
+
+
+# Scores of anchors against all rows; 64-bit sums of whole numbers are exact as doubles here.
+_MINING_SQL = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.vec_id, b.label = a.label AS same, b.rid AS other, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) AS pos
+  FROM s WHERE same QUALIFY pos <= 5
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.rid, p.pos ORDER BY s.score DESC, s.vec_id, s.other)::INT AS rank
+  FROM p JOIN s ON s.rid = p.rid AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@query(_MINING_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives just below the positives of every fiftieth vector, with a seventh of the labels moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.scaled(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0).drop("positive_rank")
