@@ -106,6 +106,14 @@ def test_nulls_repeats_clashes_empty(frame):
     assert bpe_codec.encode(frame([], schema, 1), TABLES).count() == 0
 
 
+def test_decoded_in_the_same_pass(frame, monkeypatch):
+    monkeypatch.setattr(bpe_codec, "RESULT_CHARS", 5)
+    texts = [None, "", "über", "a" * 20, "x", "y", "it's"] * 3
+    df = frame([(i, t, "old") for i, t in enumerate(texts)], "doc_id long, text string, Decoded string")
+    rows = bpe_codec.encode(df, TABLES, decoded="decoded").collect()
+    assert {r.doc_id: bytes(r.decoded) for r in rows} == {i: (t or "").encode() for i, t in enumerate(texts)}
+
+
 def test_incomplete_ranks_are_refused(tmp_path):
     path = tmp_path / "few.tiktoken"
     path.write_bytes(base64.b64encode(b"a") + b" 0\n")

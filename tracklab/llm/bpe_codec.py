@@ -37,9 +37,9 @@ MAX_FILE_BYTES = 64 << 20
 # Code points scanned at a time, and columns of the scan's first level.
 WINDOW, WIDTH = 1 << 19, 64
 # Encoded slices that a worker remembers, and the longest it does.
-MEMO_ENTRIES, MEMO_CHARS = 300_000, 64
-# Tokens decoded at a time.
-DECODED = 1 << 18
+MEMO_ENTRIES, MEMO_CHARS = 100_000, 64
+# Tokens decoded at a time, and code points of the texts whose results leave a task together.
+DECODED, RESULT_CHARS = 1 << 17, 1 << 21
 
 # Classes of code points; an apostrophe is told from other marks by its code point.
 LETTER, NUMBER, BLANK, SPACE, OTHER = range(5)
@@ -333,16 +333,37 @@ def decode_span(packed: bytes, starts: bytes, begin: int, end: int, tables: Tabl
     return part[begin - low:end - low]
 
 
-def encode_column(spark, text: Column, tables: Tables) -> Column:
-    """Struct of packed ``ids`` and ``offsets`` of a text."""
+def portions(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts of about ``RESULT_CHARS`` code points, one text at least."""
+    part: list[str] = []
+    size = 0
+    for text in texts:
+        if part and size + len(text) > RESULT_CHARS:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
+def encode_column(spark, text: Column, tables: Tables, with_decoded: bool = False) -> Column:
+    """Struct of packed ``ids`` and ``offsets`` of a text, and what they decode to if asked for.
+
+    Results leave in small batches, so that memory is bounded by the input's.
+    """
     shared = spark.sparkContext.broadcast(tables)
 
-    @F.pandas_udf("ids binary, offsets binary")
+    @F.pandas_udf("ids binary, offsets binary" + (", decoded binary" if with_decoded else ""))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            ids = encoder.encode(batch.tolist())
-            yield pd.DataFrame({"ids": ids, "offsets": [offsets(p, shared.value) for p in ids]}, dtype=object)
+            for part in portions(batch.tolist()):
+                ids = encoder.encode(part)
+                out = {"ids": ids, "offsets": [offsets(p, shared.value) for p in ids]}
+                if with_decoded:
+                    out["decoded"] = [decode_tokens(p, o, shared.value) for p, o in zip(ids, out["offsets"])]
+                yield pd.DataFrame(out, dtype=object)
 
     return encode(F.coalesce(text, F.lit("")))
 
@@ -360,13 +381,18 @@ def decode_column(spark, ids: Column, starts: Column, tables: Tables) -> Column:
     return decode(ids, starts)
 
 
-def encode(df: DataFrame, tables: Tables, text: str = "text") -> DataFrame:
-    """``df`` with packed ``ids`` and ``offsets`` (replaced where they exist) and ``n_tokens``."""
-    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("ids", "offsets", "n_tokens")]
+def encode(df: DataFrame, tables: Tables, text: str = "text", decoded: str | None = None) -> DataFrame:
+    """``df`` with packed ``ids`` and ``offsets`` and with ``n_tokens`` (replaced where they exist).
+
+    ``decoded`` names a further column: the bytes that the numbers decode to, in the same pass.
+    """
+    new = {"ids", "offsets", "n_tokens", (decoded or "ids").lower()}
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in new]
     coded = free_name(df, "coded")
-    out = df.select(*kept, encode_column(df.sparkSession, F.col(f"`{text}`"), tables).alias(coded))
+    out = df.select(*kept, encode_column(df.sparkSession, F.col(f"`{text}`"), tables, decoded is not None).alias(coded))
+    more = [F.col(f"{coded}.decoded").alias(decoded)] if decoded else []
     return out.select(*kept, F.col(f"{coded}.ids").alias("ids"), F.col(f"{coded}.offsets").alias("offsets"),
-                      F.floor(F.octet_length(f"{coded}.ids") / 4).cast("long").alias("n_tokens"))
+                      F.floor(F.octet_length(f"{coded}.ids") / 4).cast("long").alias("n_tokens"), *more)
 
 
 def decode(df: DataFrame, tables: Tables, name: str = "decoded") -> DataFrame:

@@ -150,6 +150,6 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token numbers of every document and the bytes that they decode to, as digests."""
     tables = bpe_codec.load(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tables).drop("text")
-    return bpe_codec.decode(coded, tables).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_codec.encode(docs, tables, decoded="decoded").select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
