@@ -15,5 +15,5 @@ def test_matches_oracle(spark, sf, duck, name):
     assert (columns, got) == (want_columns, want)
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklab.llm import bpe_codec, decontam, mixing, quality, tokens, warc
+from tracklab.llm import bpe_codec, conv_repair, decontam, mixing, quality, tokens, warc
 from tracklab.llm.common import query, table
 from tracklab.session import scratch_dir
 from tracklab.sources.staging import stage
@@ -153,3 +153,17 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_codec.encode(docs, tables, decoded="decoded").select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a hash of its turns, with the cheapest repair as digests."""
+    rows = table(spark, sf_dir, "conversations")
+    text, blank = F.coalesce("text", F.lit(" ")), F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    harm = F.crc32(key.cast("binary")) % 20
+    damaged = rows.select(
+        "conv_id", "turn", F.when(harm == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(harm == 1, "").when(harm == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(harm == 0, 0).when(harm == 3, 2).otherwise(1).alias("copies"))
+    return conv_repair.digests(conv_repair.repair(damaged, copies=F.col("copies")))
