@@ -76,6 +76,14 @@ def test_composition_is_associative():
     assert (m[m[a, b], c] == m[a, m[b, c]]).all()
 
 
+def test_short_and_long_merges_agree(monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdeéß日") for _ in range(rng.randint(1, 13))).encode() for _ in range(500)]
+    want = [bpe_codec.merge_pairs(w, RANKS) for w in words]
+    monkeypatch.setattr(bpe_codec, "SCAN_BYTES", 0)
+    assert [bpe_codec.merge_pairs(w, RANKS) for w in words] == want
+
+
 def test_spans_by_offsets():
     text = "Ein Märchen, it's 12345 – ok?\n" * 30
     packed = bpe_codec.Encoder(TABLES).encode([text])[0]

@@ -37,9 +37,11 @@ MAX_FILE_BYTES = 64 << 20
 # Code points scanned at a time, and columns of the scan's first level.
 WINDOW, WIDTH = 1 << 19, 64
 # Encoded slices that a worker remembers, and the longest it does.
-MEMO_ENTRIES, MEMO_CHARS = 100_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
 # Tokens decoded at a time, and code points of the texts whose results leave a task together.
 DECODED, RESULT_CHARS = 1 << 17, 1 << 21
+# Slices of at most so many bytes are scanned for their best pair; ``NONE`` ranks after all.
+SCAN_BYTES, NONE = 40, 1 << 60
 
 # Classes of code points; an apostrophe is told from other marks by its code point.
 LETTER, NUMBER, BLANK, SPACE, OTHER = range(5)
@@ -195,10 +197,22 @@ def symbols(codes: np.ndarray, last: np.ndarray, classes: np.ndarray) -> np.ndar
 
 def merge_pairs(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Tokens of one slice: the adjacent pair of lowest rank, leftmost first, is merged until
-    none has a rank.  A heap over a linked list of parts keeps long slices near linear."""
+    none has a rank.  Short slices are scanned for the best pair; a heap over a linked list of
+    parts keeps long ones near linear."""
     if (whole := ranks.get(data)) is not None:
         return [whole]
     n = len(data)
+    if n <= SCAN_BYTES:
+        get, cuts = ranks.get, list(range(n + 1))
+        found = [get(data[i:i + 2], NONE) for i in range(n - 1)]
+        while found and (best := min(found)) < NONE:
+            i = found.index(best)
+            del cuts[i + 1], found[i]
+            if i:
+                found[i - 1] = get(data[cuts[i - 1]:cuts[i + 1]], NONE)
+            if i < len(found):
+                found[i] = get(data[cuts[i]:cuts[i + 2]], NONE)
+        return [ranks[data[a:b]] for a, b in zip(cuts, cuts[1:])]
     end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
     heap = []
     for i in range(n - 1):
