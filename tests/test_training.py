@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tracklab import schema as S
 from tracklab.functions.features import feature_names
 from tracklab.operators import infer, models, tuning
-from tracklab.operators.boosting import OneVsRestGBT, OneVsRestGBTModel
+from tracklab.operators.boosting import JointBoosting, JointBoostingModel
 from tracklab.operators.knn import KnnClassifier, KnnModel
 from tracklab.operators.small import literal_table
 from tracklab.operators.stages import OutlierFenceModel, PopStdScaler, preprocessor, scaled_names
@@ -124,10 +124,10 @@ def test_model_without_probabilities(sample, prepared):
 
 def test_boosting_round_trip(prepared, tmp_path):
     train = prepared.rows.filter("split = 'val'")
-    model = OneVsRestGBT(maxIter=3, maxDepth=3).fit(train)
+    model = JointBoosting(maxIter=3, maxDepth=3).fit(train)
     test = prepared.rows.filter("split = 'test'").orderBy("track_id").limit(10)
     model.save(str(tmp_path / "gbt"))
-    again = OneVsRestGBTModel.load(str(tmp_path / "gbt"))
+    again = JointBoostingModel.load(str(tmp_path / "gbt"))
     a, b = (m.transform(test).select("prediction", "probability").collect() for m in (model, again))
     assert a == b
     assert all(abs(sum(r["probability"]) - 1) < 1e-9 for r in a)
@@ -157,8 +157,9 @@ def test_forest_quality(prepared):
 def test_tuned_model_factory():
     boosted = models.tuned_model("Gradient Boosting", {"num_leaves": 63, "learning_rate": 0.05, "colsample_bytree": 0.8}, 6)
     get = boosted.getOrDefault
-    assert (boosted.getMaxIter(), get("maxDepth"), get("subsamplingRate"), get("featureSubsetStrategy")) == (1000, 6, 0.8, "0.8")
-    assert models.boosting_from({"num_leaves": 127, "max_depth": 3}).getOrDefault("maxDepth") == 3
+    assert (boosted.getMaxIter(), get("numLeaves"), get("maxDepth"), get("subsamplingRate"), get("columnsRate")) == (1000, 63, 0, 0.8, 0.8)
+    full = models.boosting_from({"num_leaves": 127, "max_depth": 3, "reg_alpha": 0.5, "reg_lambda": 2.0, "min_child_samples": 7})
+    assert [full.getOrDefault(p) for p in ("maxDepth", "regAlpha", "regLambda", "minInstancesPerNode")] == [3, 0.5, 2.0, 7]
     mlp = models.tuned_model("MLP", {"n_layers": 2, "n_units_l0": 70, "n_units_l1": 80}, 6)
     assert mlp.getLayers() == [42, 70, 80, 6] and mlp.getMaxIter() == 300
     forest = models.tuned_model("Random Forest", {"n_estimators": 150, "max_depth": 10, "max_features": "log2"}, 6)
@@ -225,7 +226,7 @@ def test_registered_searches_do_the_whole_job(spark, sf, monkeypatch):
     assert [r["model"] for r in QUERIES["cv_comparison"](spark, sf).collect()] == names[::-1]
     assert [r["model"] for r in QUERIES["best_model"](spark, sf).collect()] == names[-1:]
     for compared in map(lambda f: dict(zip(names, f)), fits):
-        assert compared["Gradient Boosting"].getMaxIter() == 200 and compared["SVM"].getClassifier().getMaxIter() == 2000
+        assert compared["Gradient Boosting"].getMaxIter() == 200 and compared["SVM"].getMaxIter() == 2000
     assert QUERIES["grid_search"](spark, sf).count() == 18 and {e.getNumTrees() for e in fits[-1]} == {150}
     drawn = tuning.sample_params("Random Forest")
     assert QUERIES["random_search"](spark, sf).count() == len(drawn) == 50
@@ -236,7 +237,7 @@ def test_registered_boosting_has_all_rounds(spark, sf, monkeypatch):
     def fit(self, rows):
         raise StopIteration(self.getMaxIter())
 
-    monkeypatch.setattr(OneVsRestGBT, "_fit", fit)
+    monkeypatch.setattr(JointBoosting, "_fit", fit)
     with pytest.raises(StopIteration, match="^200$"):
         QUERIES["boosting_predict"](spark, sf)
 

@@ -8,17 +8,17 @@ from collections import Counter
 from typing import Any
 
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.classification import (LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklab import schema as S
 from tracklab.functions.features import feature_names
-from tracklab.operators.boosting import OneVsRestGBT
+from tracklab.operators.boosting import JointBoosting
 from tracklab.operators.knn import KnnClassifier
 from tracklab.operators.small import literal_table
+from tracklab.operators.svm import SquaredHingeSVC
 
 WIDTH = len(feature_names())
 DEEPEST_TREE = 30  # limit of the tree learners
@@ -48,31 +48,21 @@ def candidate_models(rows: int, classes: int, width: int = WIDTH, rounds: int =
         "Random Forest": RandomForestClassifier(
             numTrees=100, featureSubsetStrategy="sqrt", maxDepth=DEEPEST_TREE, seed=S.SEED,
             maxMemoryInMB=1024),
-        "SVM": OneVsRest(
-            classifier=LinearSVC(maxIter=svm_steps, regParam=per_row, standardization=False, tol=1e-4),
-            parallelism=classes),
+        "SVM": SquaredHingeSVC(cost=1.0, maxIter=svm_steps),
         "KNN": KnnClassifier(k=7),
         "MLP": MultilayerPerceptronClassifier(layers=[width, 128, 64, classes], maxIter=200, tol=1e-4, seed=S.SEED),
-        "Gradient Boosting": OneVsRestGBT(maxIter=rounds),
+        "Gradient Boosting": JointBoosting(maxIter=rounds),
     }
 
 
-def boosting_from(params: dict[str, Any]) -> OneVsRestGBT:
-    """Boosted trees from leaf-count style parameters.
-
-    A leaf count becomes the depth that can hold it.  Leaf penalties have no counterpart:
-    giving one is an error.
-    """
-    if unused := {"reg_alpha", "reg_lambda"} & params.keys():
-        raise ValueError(f"boosted trees have no {', '.join(sorted(unused))}")
-    depth = math.ceil(math.log2(params.get("num_leaves", 31)))
-    if params.get("max_depth", -1) > 0:
-        depth = min(depth, params["max_depth"])
-    return OneVsRestGBT(
+def boosting_from(params: dict[str, Any]) -> JointBoosting:
+    """Boosted trees; a depth that is not positive is no limit."""
+    return JointBoosting(
         maxIter=params.get("n_estimators", 1000), stepSize=float(params.get("learning_rate", 0.1)),
-        maxDepth=depth, minInstancesPerNode=params.get("min_child_samples", 20),
-        subsamplingRate=float(params.get("subsample", 0.8)),
-        featureSubsetStrategy=str(params.get("colsample_bytree", "all")),
+        numLeaves=params.get("num_leaves", 31), maxDepth=max(params.get("max_depth", -1), 0),
+        minInstancesPerNode=params.get("min_child_samples", 20), subsamplingRate=float(params.get("subsample", 0.8)),
+        columnsRate=float(params.get("colsample_bytree", 1.0)), regAlpha=float(params.get("reg_alpha", 0.0)),
+        regLambda=float(params.get("reg_lambda", 0.0)),
     )
 
 
