@@ -347,6 +347,10 @@ def decode_span(packed: bytes, starts: bytes, begin: int, end: int, tables: Tabl
     return part[begin - low:end - low]
 
 
+def _tables(values: tuple) -> Tables:
+    return Tables(*values[:-1], Scan(*values[-1]))
+
+
 def portions(texts: list[str]) -> Iterator[list[str]]:
     """Consecutive texts of about ``RESULT_CHARS`` code points, one text at least."""
     part: list[str] = []
@@ -366,17 +370,18 @@ def encode_column(spark, text: Column, tables: Tables, with_decoded: bool = Fals
 
     Results leave in small batches, so that memory is bounded by the input's.
     """
-    shared = spark.sparkContext.broadcast(tables)
+    shared = spark.sparkContext.broadcast((*tables[:-1], tuple(tables.scan)))  # plain values: tasks bring the classes
 
     @F.pandas_udf("ids binary, offsets binary" + (", decoded binary" if with_decoded else ""))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shared.value)
+        known = _tables(shared.value)
+        encoder = Encoder(known)
         for batch in batches:
             for part in portions(batch.tolist()):
                 ids = encoder.encode(part)
-                out = {"ids": ids, "offsets": [offsets(p, shared.value) for p in ids]}
+                out = {"ids": ids, "offsets": [offsets(p, known) for p in ids]}
                 if with_decoded:
-                    out["decoded"] = [decode_tokens(p, o, shared.value) for p, o in zip(ids, out["offsets"])]
+                    out["decoded"] = [decode_tokens(p, o, known) for p, o in zip(ids, out["offsets"])]
                 yield pd.DataFrame(out, dtype=object)
 
     return encode(F.coalesce(text, F.lit("")))
@@ -384,12 +389,12 @@ def encode_column(spark, text: Column, tables: Tables, with_decoded: bool = Fals
 
 def decode_column(spark, ids: Column, starts: Column, tables: Tables) -> Column:
     """Bytes of packed token numbers and offsets; null where either is null."""
-    shared = spark.sparkContext.broadcast(tables)
+    shared = spark.sparkContext.broadcast((*tables[:-1], tuple(tables.scan)))
 
     @F.pandas_udf("binary")
     def decode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for some, at in batches:
-            yield pd.Series([None if p is None or o is None else decode_tokens(p, o, shared.value)
+            yield pd.Series([None if p is None or o is None else decode_tokens(p, o, _tables(shared.value))
                              for p, o in zip(some, at)], dtype=object)
 
     return decode(ids, starts)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tracklab.llm.common import sheltered
 from tracklab.sources.staging import stage
 
 # Lines with fewer normalised characters decide only where nothing wider is found.
@@ -93,6 +94,7 @@ def links(messages: DataFrame) -> DataFrame:
     return found.groupBy("conv", "turn", "msg", "level", "first").agg((-widest["back"]).alias("original"))
 
 
+@sheltered("_m", "_c", "_t", "_r", "_pc", "_pt")
 def linked(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
     """``df`` with the text free of quotes, and ``n_quotes``, ``n_linked``, ``max_level``, ``reply_to``, ``path``.
 

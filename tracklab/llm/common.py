@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +51,27 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def sheltered(*helpers: str):
+    """For a function of a DataFrame that adds helper columns of these names: columns of the input
+    that have one of them (names compare without case) get another name inside and come out as they were."""
+    def wrap(fn):
+        @wraps(fn)
+        def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+            reserved = {h.lower() for h in helpers}
+            used, moved = reserved | {c.lower() for c in df.columns}, {}
+            for c in df.columns:
+                if c.lower() in reserved:
+                    free = c
+                    while free.lower() in used:
+                        free += "_"
+                    used.add(free.lower())
+                    moved[c] = free
+            if not moved:
+                return fn(df, *args, **kwargs)
+            named = [moved.get(a, a) if isinstance(a, str) else a for a in args]
+            named_too = {k: moved.get(a, a) if isinstance(a, str) else a for k, a in kwargs.items()}
+            return fn(df.withColumnsRenamed(moved), *named, **named_too).withColumnsRenamed({v: k for k, v in moved.items()})
+        return run
+    return wrap

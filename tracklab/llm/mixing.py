@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tracklab.llm.common import word_count
+from tracklab.llm.common import sheltered, word_count
 from tracklab.sources.staging import stage
 
 WEIGHTS = (5, 2, 1)
@@ -79,6 +79,7 @@ def fill(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fraction
     )
 
 
+@sheltered("_source", "_range", "_s", "_c", "_cut", "_before", "copies", "rest", "_extra")
 def mix(df: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE,
         max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Rows of a ``sized`` table with ``source_size``, ``target`` and ``taken``.

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklab.operators.small import checked_broadcast
+from tracklab.llm.common import sheltered
 from tracklab.sources.staging import stage
 
 U = np.uint64
@@ -413,6 +414,7 @@ def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_first", "doc_id").alias("component_id"))
 
 
+@sheltered("_leave", "_r")
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join = NEAR) -> DataFrame:
     """``docs`` with one document of every component: that with the least id.
 

@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklab.llm.common import WORD, words
+from tracklab.llm.common import WORD, sheltered, words
 
 # Frequent words of the four languages of the corpus.
 STOP_WORDS = (
@@ -69,6 +69,7 @@ def passes(rules: tuple[Rule, ...], measure: dict[str, Column]) -> Column:
     return out
 
 
+@sheltered("_w", "_lines", "_keys", "_tagged", "_heads", "_at")
 def measures(df: DataFrame, text: str = "text") -> DataFrame:
     """All measures of the rules as long columns beside the columns of ``df``.
 

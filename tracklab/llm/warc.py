@@ -20,6 +20,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklab.llm.common import sheltered
 from tracklab.sources.staging import stage
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -46,6 +47,7 @@ def base32_sha1(payload: Column) -> Column:
     return F.concat(*chars)
 
 
+@sheltered("_key", "_k", "_first")
 def linked(df: DataFrame, record_id: str, payload: str, min_bytes: int = 0) -> DataFrame:
     """``df`` with ``payload_bytes``, ``payload_digest`` and ``refers_to``.
 
