@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklab.llm import decontam, mixing, partenum, pii, toxicity
-from tracklab.llm.common import free_name, table
+from tracklab.llm.common import free_name, sheltered, table
 from tracklab.llm.common import words as words_of
 from tracklab.session import scratch_dir
 
@@ -43,8 +43,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row per repetition of a document, with ``repetition`` from 1 and its ``words``.
 
     The document at a source's cut gives its last repetition up to the cut, its words joined
-    by blanks; documents of which nothing is taken are not in the mix.
+    by blanks; documents of which nothing is taken are not in the mix.  ``source_size``, ``target``,
+    ``repetition`` and ``words`` are results and replace columns of these names.
     """
+    return _mixed(docs)
+
+
+@sheltered("size", "order_key", "taken")
+def _mixed(docs: DataFrame) -> DataFrame:
     taken = mixing.mix(mixing.sized(docs)).filter("taken > 0")
     part = F.least(F.col("size"), F.col("taken") - (F.col("repetition") - 1) * F.col("size"))
     out = taken.withColumn("repetition", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
