@@ -8,6 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tracklab.operators.boosting import JointBoosting, JointBoostingModel
+from tracklab.operators.perceptron import Net, Perceptron, PerceptronModel
 from tracklab.operators.svm import SquaredHingeSVC, SquaredHingeSVCModel
 
 
@@ -159,3 +160,52 @@ def test_svm_round_trip_and_ties(spark, tmp_path):
     assert {r.prediction for r in model.transform(df).collect()} == {0.0}
     with pytest.raises(ValueError):
         SquaredHingeSVC().fit(df.limit(0))
+
+
+def test_perceptron_gradient_is_the_slope():
+    rng = np.random.default_rng(4)
+    net = Net((5, 7, 6, 3))
+    weights, x, y = rng.normal(size=net.size), rng.normal(size=(20, 5)), rng.integers(0, 3, 20)
+    gradient, loss = net.gradient(weights, x, y)
+    for i in rng.choice(net.size, 40, replace=False):
+        step = np.zeros(net.size)
+        step[i] = 1e-6
+        slope = (net.gradient(weights + step, x, y)[1] - net.gradient(weights - step, x, y)[1]) / 2e-6
+        assert gradient[i] == pytest.approx(slope, abs=1e-4)
+    assert loss == pytest.approx(-np.log(net.chances(weights, x)[np.arange(20), y]).sum())
+    assert np.count_nonzero(net.penalised(np.ones(net.size))) == 5 * 7 + 7 * 6 + 6 * 3
+
+
+def test_perceptron_learns_and_stops_on_noise(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 2))
+    y = ((x[:, 0] * x[:, 1]) > 0).astype(int)
+    df = table(spark, x, y).cache()
+    model = Perceptron(hidden=[32, 16], maxIter=150, stepSize=0.01).fit(df)
+    assert model.transform(df).filter("prediction = label").count() > 1400 and max(model.course) > 0.9
+    noise = Perceptron(hidden=[16], maxIter=200, stepSize=0.01).fit(table(spark, x, rng.integers(0, 2, 1500)))
+    assert len(noise.course) < 100 and max(noise.course) < 0.7
+
+
+def test_perceptron_in_one_task_equals_jobs(spark):
+    x, y = blobs(300, 3, 3, 6)
+    df = table(spark, x, y).cache()
+    a, b = (Perceptron(hidden=[8], maxIter=3, oneTaskRows=rows).fit(df) for rows in (10_000, 10))
+    assert a.weights == pytest.approx(b.weights, abs=1e-9) and a.course == pytest.approx(b.course)
+
+
+def test_perceptron_parameters_matter(spark, tmp_path):
+    x, y = blobs(300, 3, 3, 7)
+    df = table(spark, x, y).cache()
+    base = dict(hidden=[8, 4], maxIter=4)
+    first = Perceptron(**base).fit(df)
+    assert (Perceptron(**base).fit(df.repartition(1)).weights == first.weights).all()
+    for change in (dict(stepSize=0.1), dict(penalty=5.0), dict(seed=1), dict(hidden=[9]), dict(heldOut=0.3)):
+        other = Perceptron(**{**base, **change}).fit(df).weights
+        assert len(other) != len(first.weights) or (other != first.weights).any()
+    assert len(Perceptron(hidden=[4], maxIter=50, heldOut=0.0).fit(df).course) <= 50
+    first.save(str(tmp_path / "mlp"))
+    rows, again = (m.transform(df).select("prediction", "probability").collect() for m in (first, PerceptronModel.load(str(tmp_path / "mlp"))))
+    assert rows == again and all(abs(r.probability.toArray().sum() - 1) < 1e-9 for r in rows)
+    with pytest.raises(ValueError):
+        Perceptron().fit(df.limit(0))

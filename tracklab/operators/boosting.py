@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasProbabilityCol,
                                      HasSeed, HasStepSize)
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklab import schema as S
+from tracklab.operators.learning import bin_edges, binned, labelled, matrix, uniform, with_prediction
 from tracklab.sources.staging import stage
 
 # The functions here travel with the tasks that use them: executors need no copy of this package.
@@ -184,9 +185,7 @@ class Rows:
         self.g, k = p.copy(), self.s.classes
         self.g[np.arange(len(p)), self.label] -= 1
         self.h = p * (1 - p) * (k / max(k - 1, 1))
-        x = self.keys ^ np.uint64((0x9E3779B97F4A7C15 * (round_ + 1 + self.s.seed)) & 0xFFFFFFFFFFFFFFFF)
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        self.used = ((x >> np.uint64(33)).astype(np.float64) / (1 << 31)) < self.s.rows_share
+        self.used = uniform(self.keys, round_ + 1 + self.s.seed) < self.s.rows_share
         self.at = [{0: np.arange(len(p))} for _ in range(k)]
 
     def follow(self, c: int, tree: Tree) -> None:
@@ -257,11 +256,6 @@ def in_task(rows: Rows, s: Settings, round_: int) -> Pass:
     return run
 
 
-def binned(x: np.ndarray, edges: list[list[float]]) -> np.ndarray:
-    """Bin of every value: the first whose edge is not below it; a missing value is in the last."""
-    return np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(edges)], axis=1).astype(np.uint8)
-
-
 def _batch(rows: list[tuple], fields: str) -> pa.RecordBatch:
     kinds = {"int": pa.int32(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
     named = [f.rsplit(" ", 1) for f in fields.split(", ")]
@@ -269,11 +263,6 @@ def _batch(rows: list[tuple], fields: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) for v, (_, k) in zip(columns, named)], [n for n, _ in named])
 
 
-def _matrix(column: pa.Array, kind) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
-    return flat.reshape(len(column), -1)
-
-
 def _whole_fit(s: Settings, edges: list[list[float]], prior: list[float]):
     """Task function: (label, x, key) rows -> node table of all rounds."""
 
@@ -281,7 +270,7 @@ def _whole_fit(s: Settings, edges: list[list[float]], prior: list[float]):
         table = [b for b in batches if b.num_rows]
         if not table:
             return
-        x = np.concatenate([binned(_matrix(b.column("x"), np.float64), edges) for b in table])
+        x = np.concatenate([binned(matrix(b.column("x")), edges) for b in table])
         label, keys = (np.concatenate([b.column(n).to_numpy(zero_copy_only=False) for b in table]) for n in ("label", "key"))
         rows = Rows(x, label, keys.view(np.uint64), np.tile(prior, (len(x), 1)), s)
         for round_ in range(s.rounds):
@@ -311,7 +300,7 @@ class _Cluster:
     def _rows(self, batch: pa.RecordBatch, recent: list[list[Tree]], first: int) -> Rows:
         bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
         label, keys = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("label", "key"))
-        rows = Rows(bins, label, keys.view(np.uint64), _matrix(batch.column("scores"), np.float64), self.s)
+        rows = Rows(bins, label, keys.view(np.uint64), matrix(batch.column("scores")), self.s)
         for i, trees in enumerate(recent):
             rows.start(first + i)
             rows.add(trees)
@@ -418,22 +407,17 @@ class JointBoosting(Estimator, _Shared, HasLabelCol, HasMaxIter, HasStepSize, Ha
 
     def _fit(self, dataset: DataFrame) -> "JointBoostingModel":
         get, bins = self.getOrDefault, self.getOrDefault(self.maxBins)
-        if not 2 <= bins <= 256:
-            raise ValueError("maxBins must be from 2 to 256")
-        table = dataset.select(F.col(self.getLabelCol()).cast("int").alias("label"),
-                               vector_to_array(self.getFeaturesCol()).alias("x")).withColumn("key", F.xxhash64("label", "x"))
+        table = labelled(dataset, self.getLabelCol(), self.getFeaturesCol())
         known = table.groupBy("label").agg(F.count("*").alias("n")).collect()
         counts = {r["label"]: r["n"] for r in known}
         if not counts:
             raise ValueError("no rows to fit")
         width = table.agg(F.max(F.size("x"))).first()[0]
-        steps = [i / bins for i in range(1, bins)]
-        found = table.agg(*[F.percentile_approx(F.get("x", F.lit(i)), steps, 10_000).alias(f"q{i}") for i in range(width)]).first()
-        edges = [sorted({float(v) for v in q if not math.isnan(v)}) for q in found]
+        total = sum(counts.values())
+        edges = bin_edges(table, width, bins, one_task=total <= get(self.oneTaskRows))
         s = Settings(self.getMaxIter(), self.getStepSize(), get(self.numLeaves), max(get(self.maxDepth), 0), get(self.minInstancesPerNode),
                      get(self.subsamplingRate), get(self.columnsRate), get(self.regAlpha), get(self.regLambda), bins, self.getSeed(),
                      max(counts) + 1, width)
-        total = sum(counts.values())
         prior = [math.log(max(counts.get(c, 0) / total, 1e-15)) for c in range(s.classes)]
         if total <= get(self.oneTaskRows):
             nodes = [tuple(r) for r in table.coalesce(1).mapInArrow(_whole_fit(s, edges, prior), NODES).collect()]
@@ -496,23 +480,20 @@ class JointBoostingModel(Model, _Shared):
         return spark.createDataFrame(pa.Table.from_batches([_batch(self.nodes, NODES)]), schema=T._parse_datatype_string(NODES))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        forest = dataset.sparkSession.sparkContext.broadcast((Forest(self.nodes, self.numClasses), self.prior))
+        shared = dataset.sparkSession.sparkContext.broadcast(vars(Forest(self.nodes, self.numClasses)))  # plain arrays: tasks bring the class
+        prior = list(self.prior)
 
         @F.pandas_udf("array<double>")
         def chances(features: pd.Series) -> pd.Series:
-            trees, prior = forest.value
             if not len(features):
                 return pd.Series([], dtype=object)
+            trees = object.__new__(Forest)
+            vars(trees).update(shared.value)
             raw = trees.scores(np.stack(features.to_list()), prior)
             e = np.exp(raw - raw.max(axis=1, keepdims=True))
             return pd.Series(list(e / e.sum(axis=1, keepdims=True)))
 
-        name = "_chances"
-        while name in dataset.columns:
-            name += "_"
-        scored = dataset.withColumn(name, chances(vector_to_array(self.getFeaturesCol())))
-        return (scored.withColumn(self.getPredictionCol(), (F.array_position(name, F.array_max(name)) - 1).cast("double"))
-                .withColumn(self.getProbabilityCol(), array_to_vector(F.col(name))).drop(name))
+        return with_prediction(dataset, chances(vector_to_array(self.getFeaturesCol())), self.getProbabilityCol(), self.getPredictionCol())
 
     def write(self) -> MLWriter:
         return _Writer(self)

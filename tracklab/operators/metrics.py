@@ -11,7 +11,7 @@ from pyspark.sql.window import Window as W
 from tracklab import schema as S
 from tracklab.functions.features import top_gap
 from tracklab.operators.ordered import quantiles, running_totals
-from tracklab.operators.small import checked_broadcast, div, literal_table, small_rows
+from tracklab.operators.small import checked_broadcast, div, literal_table, local_if_small, small_rows
 from tracklab.sources.staging import stage
 
 
@@ -23,7 +23,7 @@ def confusion(df: DataFrame, truth: str = "y_true", pred: str = "y_pred",
     missing prediction is an error of its class, counted in rows whose y_pred is null.  The
     grid is made by Spark from the list of labels.
     """
-    counts = checked_broadcast(
+    counts = local_if_small(
         df.filter(F.col(truth).isNotNull()).groupBy(F.col(truth).alias("y_true"), F.col(pred).alias("y_pred"))
         .agg(F.count("*").alias("n"))
     )

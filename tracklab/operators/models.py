@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from typing import Any
 
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklab import schema as S
 from tracklab.functions.features import feature_names
-from tracklab.operators.boosting import JointBoosting
+from tracklab.operators.boosting import JointBoosting, JointBoostingModel
+from tracklab.operators.forest import Forest, ForestModel
 from tracklab.operators.knn import KnnClassifier
+from tracklab.operators.perceptron import Perceptron
 from tracklab.operators.small import literal_table
 from tracklab.operators.svm import SquaredHingeSVC
+from tracklab.session import scratch_dir
 
 WIDTH = len(feature_names())
 DEEPEST_TREE = 30  # limit of the tree learners
@@ -45,12 +46,10 @@ def candidate_models(rows: int, classes: int, width: int = WIDTH, rounds: int =
         "Logistic Regression": LogisticRegression(
             family="multinomial", maxIter=500, regParam=per_row, elasticNetParam=0.0, standardization=False,
             tol=1e-4),
-        "Random Forest": RandomForestClassifier(
-            numTrees=100, featureSubsetStrategy="sqrt", maxDepth=DEEPEST_TREE, seed=S.SEED,
-            maxMemoryInMB=1024),
+        "Random Forest": Forest(numTrees=100, maxDepth=DEEPEST_TREE),
         "SVM": SquaredHingeSVC(cost=1.0, maxIter=svm_steps),
         "KNN": KnnClassifier(k=7),
-        "MLP": MultilayerPerceptronClassifier(layers=[width, 128, 64, classes], maxIter=200, tol=1e-4, seed=S.SEED),
+        "MLP": Perceptron(hidden=[128, 64], maxIter=200),
         "Gradient Boosting": JointBoosting(maxIter=rounds),
     }
 
@@ -66,28 +65,19 @@ def boosting_from(params: dict[str, Any]) -> JointBoosting:
     )
 
 
-def forest_from(params: dict[str, Any]) -> RandomForestClassifier:
-    """A forest; ``min_samples_split`` is covered by twice the rows per leaf."""
-    leaf = params.get("min_samples_leaf", 1)
-    return RandomForestClassifier(
-        numTrees=params.get("n_estimators", 100),
-        maxDepth=min(params.get("max_depth") or DEEPEST_TREE, DEEPEST_TREE),
-        minInstancesPerNode=max(leaf, math.ceil(params.get("min_samples_split", 2) / 2)),
-        featureSubsetStrategy=params.get("max_features", "sqrt"), seed=S.SEED, maxMemoryInMB=1024,
+def forest_from(params: dict[str, Any]) -> Forest:
+    """A forest; no depth, or none, is as deep as the tree learners go."""
+    return Forest(
+        numTrees=params.get("n_estimators", 100), maxDepth=min(params.get("max_depth") or DEEPEST_TREE, DEEPEST_TREE),
+        minInstancesPerNode=params.get("min_samples_leaf", 1), minSplitRows=params.get("min_samples_split", 2),
+        featureSubsetStrategy=params.get("max_features", "sqrt"),
     )
 
 
-def perceptron_from(params: dict[str, Any], classes: int, width: int = WIDTH,
-                    rounds: int = 300) -> MultilayerPerceptronClassifier:
-    """A perceptron whose hidden layers are n_layers with n_units_l0, n_units_l1, ...
-
-    Its solver takes no learning rate and no weight penalty: giving one is an error.
-    """
-    if unused := {"lr_init", "alpha"} & params.keys():
-        raise ValueError(f"the perceptron has no {', '.join(sorted(unused))}")
+def perceptron_from(params: dict[str, Any], rounds: int = 300) -> Perceptron:
+    """A perceptron whose hidden layers are n_layers with n_units_l0, n_units_l1, ..."""
     hidden = [params[f"n_units_l{i}"] for i in range(params["n_layers"])] if "n_layers" in params else [128, 64]
-    return MultilayerPerceptronClassifier(
-        layers=[width, *hidden, classes], maxIter=rounds, seed=S.SEED)
+    return Perceptron(hidden=hidden, maxIter=rounds, stepSize=float(params.get("lr_init", 1e-3)), penalty=float(params.get("alpha", 1e-4)))
 
 
 def tuned_model(name: str, params: dict[str, Any], classes: int) -> Estimator:
@@ -97,7 +87,7 @@ def tuned_model(name: str, params: dict[str, Any], classes: int) -> Estimator:
     if "Random Forest" in name:
         return forest_from(params)
     if "MLP" in name:
-        return perceptron_from(params, classes)
+        return perceptron_from(params)
     raise ValueError(f"no tuned model for {name!r}")
 
 
@@ -108,11 +98,21 @@ def fit_final(estimator: Estimator, df: DataFrame, include_validation: bool = Tr
 
 
 def split_counts(spark, model: Transformer, names: list[str] | None = None) -> DataFrame:
-    """(feature, importance, original): how many tree splits use each feature."""
+    """(feature, importance, original): how many tree splits use each feature.
+
+    Counted over the model's node table, for MLlib's trees the one that they are stored as.
+    """
     names = names or feature_names()
-    trees = [model] if hasattr(model, "toDebugString") else model.models
-    used = Counter(
-        int(i) for tree in trees for i in re.findall(r"If \(feature (\d+) ", tree.toDebugString))
-    rows = [(n, used.get(i, 0), n in S.FEATURES) for i, n in enumerate(names)]
-    return literal_table(spark, rows, "feature string, importance long, original boolean").orderBy(
-        F.desc("importance"), "feature")
+    if isinstance(model, (ForestModel, JointBoostingModel)):
+        used = model.node_table(spark).filter("feature >= 0").select("feature")
+    else:
+        path = scratch_dir(spark, "tree-nodes")
+        model.write().save(path)
+        nodes = spark.read.parquet(f"{path}/data")
+        node = "nodeData." if "nodeData" in nodes.columns else ""
+        used = nodes.filter(f"{node}leftChild >= 0").select(F.col(f"{node}split.featureIndex").alias("feature"))
+    counts = used.groupBy("feature").agg(F.count("*").alias("importance"))
+    known = literal_table(spark, [(i, n, n in S.FEATURES) for i, n in enumerate(names)], "place int, name string, original boolean")
+    return known.join(counts, known["place"] == counts["feature"], "left").select(
+        F.col("name").alias("feature"), F.coalesce("importance", F.lit(0).cast("long")).alias("importance"), "original",
+    ).orderBy(F.desc("importance"), "feature")

@@ -28,17 +28,21 @@ def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) ->
     return _local_relation(spark, rows, T._parse_datatype_string(schema))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` as a broadcast local relation if it has at most ``max_rows`` rows, else ``df``.
+def local_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` as a local relation if it has at most ``max_rows`` rows, else ``df``.
 
     Meant for statistics (one row per feature, class, bucket): evaluating them once
     here also keeps their plan from being repeated in every consumer.  The probe
     takes rows partition by partition and stops one row past the bound.
     """
     rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(_local_relation(df.sparkSession, rows, df.schema))
+    return df if len(rows) > max_rows else _local_relation(df.sparkSession, rows, df.schema)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A side of a join: ``df`` as a broadcast local relation if it is small, else ``df``."""
+    small = local_if_small(df, max_rows)
+    return df if small is df else F.broadcast(small)
 
 
 def small_rows(df: DataFrame, max_rows: int = SMALL_ROWS) -> list:

@@ -20,10 +20,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasRawPredictionCol, HasTol
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, MLWriter
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracklab.operators.learning import Stored, matrix, with_prediction
 from tracklab.sources.staging import stage
 
 # The functions here travel with the tasks that use them: executors need no copy of this package.
@@ -36,7 +37,7 @@ HALVINGS, ENOUGH = 30, 1e-4
 
 
 def _with_constant(column: pa.Array) -> np.ndarray:
-    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    x = matrix(column)
     return np.hstack([x, np.ones((len(x), 1))])
 
 
@@ -132,7 +133,7 @@ class SquaredHingeSVC(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
         return -np.linalg.solve(state[2], state[1])
 
 
-class SquaredHingeSVCModel(Model, HasFeaturesCol, HasPredictionCol, HasRawPredictionCol):
+class SquaredHingeSVCModel(Stored, Model, HasFeaturesCol, HasPredictionCol, HasRawPredictionCol):
     """The first class with the greatest margin; there are no probabilities."""
 
     @keyword_only
@@ -145,6 +146,12 @@ class SquaredHingeSVCModel(Model, HasFeaturesCol, HasPredictionCol, HasRawPredic
     def numClasses(self) -> int:
         return len(self.weights)
 
+    def state(self) -> dict:
+        return {"weights": self.weights.tolist()}
+
+    def restore(self, state: dict) -> None:
+        self.weights = np.array(state["weights"])
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         weights = self.weights
 
@@ -153,46 +160,4 @@ class SquaredHingeSVCModel(Model, HasFeaturesCol, HasPredictionCol, HasRawPredic
             x = np.stack(features.to_list()) if len(features) else np.zeros((0, weights.shape[1] - 1))
             return pd.Series(list(x @ weights[:, :-1].T + weights[:, -1]), dtype=object)
 
-        name = "_margins"
-        while name in dataset.columns:
-            name += "_"
-        scored = dataset.withColumn(name, margins(vector_to_array(self.getFeaturesCol())))
-        return (scored.withColumn(self.getPredictionCol(), (F.array_position(name, F.array_max(name)) - 1).cast("double"))
-                .withColumn(self.getRawPredictionCol(), array_to_vector(F.col(name))).drop(name))
-
-    def write(self) -> MLWriter:
-        return _Writer(self)
-
-    def save(self, path: str) -> None:
-        self.write().save(path)
-
-    @classmethod
-    def read(cls) -> MLReader:
-        return _Reader(cls)
-
-    @classmethod
-    def load(cls, path: str) -> "SquaredHingeSVCModel":
-        return cls.read().load(path)
-
-
-class _Writer(MLWriter):
-    def __init__(self, instance):
-        super().__init__()
-        self.instance = instance
-
-    def saveImpl(self, path: str) -> None:
-        DefaultParamsWriter.saveMetadata(self.instance, path, self.sc, extraMetadata={"weights": self.instance.weights.tolist()})
-
-
-class _Reader(MLReader):
-    def __init__(self, cls):
-        super().__init__()
-        self.cls = cls
-
-    def load(self, path: str) -> SquaredHingeSVCModel:
-        metadata = DefaultParamsReader.loadMetadata(path, self.sc)
-        model = self.cls()
-        model._resetUid(metadata["uid"])
-        DefaultParamsReader.getAndSetParams(model, metadata)
-        model.weights = np.array(metadata["weights"])
-        return model
+        return with_prediction(dataset, margins(vector_to_array(self.getFeaturesCol())), self.getRawPredictionCol(), self.getPredictionCol())

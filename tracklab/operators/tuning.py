@@ -1,4 +1,4 @@
-"""Cross-validated comparison, grid search and seeded random search."""
+"""Cross-validated comparison, grid search, sequential and random search."""
 
 from __future__ import annotations
 
@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklab import schema as S
-from tracklab.operators.metrics import confusion, metric_row
+from tracklab.operators import parzen
 from tracklab.operators.models import boosting_from, forest_from, perceptron_from
 from tracklab.operators.profile import running_best
-from tracklab.operators.small import literal_table
+from tracklab.operators.small import literal_table, small_rows
 
 # Fits running side by side.
 PARALLELISM = 8
@@ -35,13 +35,13 @@ GRIDS = {
     "Boosting": {"num_leaves": [63, 127], "learning_rate": [0.05, 0.1]},
     "Random Forest": {"max_depth": [10, 20, 30], "min_samples_leaf": [1, 2, 5], "max_features": ["sqrt", "log2"]},
 }
-# Search ranges.  Only parameters that the learners here use are drawn: boosted trees
-# have no leaf penalties, the perceptron's solver no learning rate and no weight penalty.  Kinds: ("int", low, high), ("float", low, high), ("log", low, high), ("one", choices).
+# Search ranges.  Kinds: ("int", low, high), ("float", low, high), ("log", low, high),
+# ("one", choices); sizes of layers are drawn for the layers that there are.
 RANGES = {
     "Boosting": {
         "n_estimators": ("int", 100, 500), "learning_rate": ("log", 0.02, 0.3), "num_leaves": ("int", 31, 127),
         "max_depth": ("int", 3, 10), "min_child_samples": ("int", 10, 100), "subsample": ("float", 0.6, 1.0),
-        "colsample_bytree": ("float", 0.6, 1.0),
+        "colsample_bytree": ("float", 0.6, 1.0), "reg_alpha": ("log", 1e-8, 5.0), "reg_lambda": ("log", 1e-8, 5.0),
     },
     "Random Forest": {
         "n_estimators": ("int", 50, 300), "max_depth": ("int", 5, 25), "min_samples_split": ("int", 2, 20),
@@ -49,7 +49,7 @@ RANGES = {
     },
     "MLP": {
         "n_layers": ("int", 1, 3), "n_units_l0": ("int", 64, 256), "n_units_l1": ("int", 64, 256),
-        "n_units_l2": ("int", 64, 256),
+        "n_units_l2": ("int", 64, 256), "alpha": ("log", 1e-5, 1e-1), "lr_init": ("log", 1e-4, 1e-1),
     },
 }
 
@@ -61,11 +61,8 @@ def _family(name: str, known: dict) -> str:
     raise ValueError(f"{name!r} cannot be tuned; supported: {', '.join(known)}")
 
 
-def _builder(family: str, classes: int, width: int) -> Callable[[dict], Estimator]:
-    return {
-        "Boosting": boosting_from, "Random Forest": forest_from,
-        "MLP": lambda p: perceptron_from(p, classes, width, rounds=200),
-    }[family]
+def _builder(family: str) -> Callable[[dict], Estimator]:
+    return {"Boosting": boosting_from, "Random Forest": forest_from, "MLP": lambda p: perceptron_from(p, rounds=200)}[family]
 
 
 def _keep(df: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
@@ -80,13 +77,24 @@ def _keep(df: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
     return table.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def fold_metrics(counts: Sequence[tuple[float, float, int]]) -> tuple[float, float]:
+    """Accuracy and weighted F1 of (label, prediction, rows) counts, a row per pair of classes."""
+    total = sum(n for *_, n in counts)
+    f1 = 0.0
+    for c in {label for label, *_ in counts}:
+        support = sum(n for a, _, n in counts if a == c)
+        both = sum(n for a, b, n in counts if a == b == c)
+        f1 += support * 2 * both / (support + sum(n for _, b, n in counts if b == c))
+    return (sum(n for a, b, n in counts if a == b) / total, f1 / total) if total else (0.0, 0.0)
+
+
 def _fold_score(estimator: Estimator, table: DataFrame, fold: int) -> tuple[float, float, float]:
-    """Accuracy, weighted F1 and seconds of one fold, from one confusion aggregate."""
+    """Accuracy, weighted F1 and seconds of one fold, from one aggregate over its rows."""
     start = time.perf_counter()
     model = estimator.fit(table.filter(F.col("fold") != fold))
     scored = model.transform(table.filter(F.col("fold") == fold))
-    row = metric_row(confusion(scored, "label", "prediction")).first()
-    return row["accuracy"], row["weighted_f1"], time.perf_counter() - start
+    counts = small_rows(scored.groupBy("label", "prediction").count())
+    return *fold_metrics([tuple(r) for r in counts]), time.perf_counter() - start
 
 
 def cross_validate(estimators: Sequence[Estimator], df: DataFrame, folds: int = S.CV_FOLDS,
@@ -96,13 +104,16 @@ def cross_validate(estimators: Sequence[Estimator], df: DataFrame, folds: int =
     Fits of different estimators and folds are independent jobs and run side by side.
     """
     table = _keep(df)
-    work = [(e, table, j) for e in estimators for j in range(folds)]
     try:
         table.count()
         with ThreadPool(parallelism) as pool:
-            scores = pool.starmap(_fold_score, work, chunksize=1)
+            return _mean_scores(estimators, table, folds, pool)
     finally:
         table.unpersist()
+
+
+def _mean_scores(estimators: Sequence[Estimator], table: DataFrame, folds: int, pool: ThreadPool) -> list[tuple[float, float, float]]:
+    scores = pool.starmap(_fold_score, [(e, table, j) for e in estimators for j in range(folds)], chunksize=1)
     results = []
     for i in range(len(estimators)):
         accuracy, f1, seconds = zip(*scores[i * folds:(i + 1) * folds])
@@ -141,7 +152,7 @@ def grid_search(name: str, df: DataFrame, classes: int, width: int, folds: int =
     grid = GRIDS[family] if grid is None else grid
     fixed = GRID_FIXED[family] if fixed is None else fixed
     points = [fixed | dict(zip(grid, values)) for values in product(*grid.values())]
-    trials = _trials(df, _builder(family, classes, width), points, folds)
+    trials = _trials(df, _builder(family), points, folds)
     best, score = max(trials, key=lambda t: t[1])
     return best, score, trials
 
@@ -168,7 +179,25 @@ def random_search(name: str, df: DataFrame, classes: int, width: int, trials: in
     """Best parameters, best weighted F1 and all trials of a seeded search (T4)."""
     family = _family(name, RANGES)
     points = sample_params(family, trials) if candidates is None else list(candidates)
-    results = _trials(df, _builder(family, classes, width), points, folds)
+    results = _trials(df, _builder(family), points, folds)
+    best, score = max(results, key=lambda t: t[1])
+    return best, score, results
+
+
+def sequential_search(name: str, df: DataFrame, trials: int = S.SEARCH_TRIALS, folds: int = S.CV_FOLDS, seed: int = S.SEED,
+                      side_by_side: int = 3) -> tuple[dict[str, Any], float, list]:
+    """Best parameters, best weighted F1 and all trials of a search that learns from its trials (T4).
+
+    ``side_by_side`` trials run at a time, each with its folds side by side.
+    """
+    family = _family(name, RANGES)
+    build, table = _builder(family), _keep(df)
+    try:
+        table.count()
+        with ThreadPool(folds * side_by_side) as pool:
+            results = parzen.search(RANGES[family], lambda p: _mean_scores([build(p)], table, folds, pool)[0][1], trials, seed, side_by_side)
+    finally:
+        table.unpersist()
     best, score = max(results, key=lambda t: t[1])
     return best, score, results
 

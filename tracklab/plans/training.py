@@ -78,7 +78,7 @@ def train(df: DataFrame, target: str, ids: list[str], out: str, trials: int = S.
     if use_grid:
         params, tuned, _ = U.grid_search(best, search, classes, width)
     else:
-        params, tuned, _ = U.random_search(best, search, classes, width, trials)
+        params, tuned, _ = U.sequential_search(best, search, trials)
     fitted = M.fit_final(M.tuned_model(best, params, classes), prepared.rows, include_validation)
     scoring = bundle(prepared.preprocessor, fitted, M.label_decoder(prepared.labels))
     scoring.write().overwrite().save(f"{out}/model")
