@@ -8,6 +8,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tracklab.operators.boosting import JointBoosting, JointBoostingModel
+from tracklab.operators.forest import Forest, ForestModel, Growth, Tree, grown
+from tracklab.operators.learning import bin_edges, binned, labelled
 from tracklab.operators.perceptron import Net, Perceptron, PerceptronModel
 from tracklab.operators.svm import SquaredHingeSVC, SquaredHingeSVCModel
 
@@ -209,3 +211,89 @@ def test_perceptron_parameters_matter(spark, tmp_path):
     assert rows == again and all(abs(r.probability.toArray().sum() - 1) < 1e-9 for r in rows)
     with pytest.raises(ValueError):
         Perceptron().fit(df.limit(0))
+
+
+def plain_tree(x, y, rows, draws, k, leaf, split, depth):
+    """A tree by trying every threshold of the drawn features, nodes in order of their level."""
+    open_nodes, nodes, level = [(np.array(rows), 0)], [], 0
+    while open_nodes:
+        grown_nodes = [(i, at) for i, (at, _) in enumerate(open_nodes) if len(at) >= max(split, 2 * leaf) and len(set(y[at])) > 1 and level < depth]
+        features = draws(len(grown_nodes)) if grown_nodes else []
+        following, shown = [], {}
+        for (i, at), drawn in zip(grown_nodes, features):
+            def worth(part):
+                return (np.bincount(y[part], minlength=k) ** 2).sum() / len(part)
+
+            best = None
+            for f in drawn:
+                for cut in np.unique(x[at, f])[:-1]:
+                    low, high = at[x[at, f] <= cut], at[x[at, f] > cut]
+                    if min(len(low), len(high)) >= leaf:
+                        gain = worth(low) + worth(high) - worth(at)
+                        if gain > 1e-9 and (best is None or gain > best[0] + 1e-6):
+                            best = gain, f, cut, low, high
+            if best:
+                shown[i] = (int(best[1]), float(best[2]))
+                following += [(best[3], level + 1), (best[4], level + 1)]
+        nodes += [(shown.get(i), np.bincount(y[at], minlength=k).tolist()) for i, (at, _) in enumerate(open_nodes)]
+        open_nodes, level = following, level + 1
+    return nodes
+
+
+@pytest.mark.parametrize("leaf, split, depth, drawn", [(1, 2, 4, 2), (5, 2, 9, 4), (2, 30, 9, 3)])
+def test_forest_trees_equal_plain(leaf, split, depth, drawn):
+    x, y = blobs(300, 4, 3, 8)
+    edges = [sorted(set(x[:, i].tolist())) for i in range(4)]
+    bins = binned(x, edges)
+    g = Growth(3, 64, depth, leaf, split, drawn, 11)
+    tree = grown(bins, y, edges, g, 5)
+    rng = np.random.default_rng([11, 5])
+    rows = np.sort(rng.integers(0, 300, 300))
+    want = plain_tree(x, y, rows, lambda n: rng.random((n, 4)).argsort(axis=1)[:, :drawn], 3, leaf, split, depth)
+    got = [((int(f), float(c)) if f >= 0 else None, k.astype(int).tolist()) for f, c, k in zip(tree.feature, tree.threshold, tree.counts)]
+    assert got == want
+    assert Tree.unpacked(tree.packed(), 3).counts.tolist() == tree.counts.tolist()
+
+
+def test_forest_scores_and_round_trip(spark, rows, tmp_path):
+    x, y, df = rows
+    model = Forest(numTrees=12, maxDepth=5, seed=3).fit(df)
+    assert (Forest(numTrees=12, maxDepth=5, seed=3).fit(df.repartition(1)).trees[7].threshold == model.trees[7].threshold).all()
+
+    def walk(tree, row):
+        at = 0
+        while tree.feature[at] >= 0:
+            at = tree.left[at] if row[tree.feature[at]] <= tree.threshold[at] else tree.right[at]
+        return tree.counts[at] / tree.counts[at].sum()
+
+    model.save(str(tmp_path / "forest"))
+    again = ForestModel.load(str(tmp_path / "forest"))
+    for m in (model, again):
+        for r in m.transform(df.limit(40)).collect():
+            want = np.mean([walk(t, r.features.toArray()) for t in model.trees], axis=0)
+            assert r.probability.toArray() == pytest.approx(want) and r.prediction == r.probability.argmax()
+    nodes = model.node_table(spark)
+    leaves = sum(int((t.feature < 0).sum()) for t in model.trees)
+    assert nodes.filter("feature >= 0").count() == leaves - 12 and nodes.filter("node = 0").agg(F.sum("rows")).first()[0] == 12 * 500
+
+
+def test_forest_parameters_and_large_tables(rows):
+    _, _, df = rows
+    base = dict(numTrees=3, maxDepth=4)
+    first = [t.packed() for t in Forest(**base).fit(df).trees]
+    for change in (dict(maxDepth=2), dict(minInstancesPerNode=40), dict(minSplitRows=200), dict(featureSubsetStrategy="all"), dict(maxBins=3), dict(seed=1)):
+        assert [t.packed() for t in Forest(**{**base, **change}).fit(df).trees] != first
+    assert type(Forest(**base, oneTableRows=10).fit(df)).__name__ == "RandomForestClassificationModel"
+    with pytest.raises(ValueError):
+        Forest().fit(df.limit(0))
+
+
+def test_edges_of_one_task_are_quantiles(spark):
+    x = np.round(np.random.default_rng(9).normal(size=(700, 3)), 1)
+    x[::50, 1] = math.nan
+    t = labelled(table(spark, x, np.zeros(700, int)), "label", "features")
+    exact, approximate = bin_edges(t, 3, 16, one_task=True), bin_edges(t, 3, 16)
+    for i, (a, b) in enumerate(zip(exact, approximate)):
+        column = np.sort(x[~np.isnan(x[:, i]), i])
+        assert a == sorted({column[math.ceil(len(column) * k / 16) - 1] for k in range(1, 16)})
+        assert len(b) <= 15 and (i == 1 or max(abs(p - q) for p, q in zip(a, b)) < 0.11)

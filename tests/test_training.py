@@ -12,12 +12,14 @@ from tracklab.functions.features import feature_names
 from tracklab.operators import infer, models, tuning
 from tracklab.operators.boosting import JointBoosting, JointBoostingModel
 from tracklab.operators.knn import KnnClassifier, KnnModel
+from tracklab.operators.metrics import confusion, metric_row
 from tracklab.operators.small import literal_table
 from tracklab.operators.stages import OutlierFenceModel, PopStdScaler, preprocessor, scaled_names
-from tracklab.plans import evaluation, training
+from tracklab.plans import evaluation, queries_train, training
 from tracklab.plans.catalogue import ORACLES, QUERIES
 from tracklab.plans.queries_train import TARGET, IDS, _pipeline, _prepared, _search_rows
 from tracklab.sources import files
+from tracklab.sources.artefacts import files_print, kept
 from tracklab.sources.tables import tracks
 
 
@@ -160,8 +162,8 @@ def test_tuned_model_factory():
     assert (boosted.getMaxIter(), get("numLeaves"), get("maxDepth"), get("subsamplingRate"), get("columnsRate")) == (1000, 63, 0, 0.8, 0.8)
     full = models.boosting_from({"num_leaves": 127, "max_depth": 3, "reg_alpha": 0.5, "reg_lambda": 2.0, "min_child_samples": 7})
     assert [full.getOrDefault(p) for p in ("maxDepth", "regAlpha", "regLambda", "minInstancesPerNode")] == [3, 0.5, 2.0, 7]
-    mlp = models.tuned_model("MLP", {"n_layers": 2, "n_units_l0": 70, "n_units_l1": 80}, 6)
-    assert mlp.getLayers() == [42, 70, 80, 6] and mlp.getMaxIter() == 300
+    mlp = models.tuned_model("MLP", {"n_layers": 2, "n_units_l0": 70, "n_units_l1": 80, "lr_init": 0.02, "alpha": 0.3}, 6)
+    assert [mlp.getOrDefault(p) for p in ("hidden", "maxIter", "stepSize", "penalty")] == [[70, 80], 300, 0.02, 0.3]
     forest = models.tuned_model("Random Forest", {"n_estimators": 150, "max_depth": 10, "max_features": "log2"}, 6)
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (150, 10, "log2")
     with pytest.raises(ValueError):
@@ -188,6 +190,42 @@ def test_grid_search_returns_best_trial(spark, sf):
     assert history[-1]["best"] == score and history[-1]["improvement"] == pytest.approx(score - 0.1)
 
 
+def test_sequential_search(spark, sf, monkeypatch):
+    monkeypatch.setitem(tuning.RANGES, "Random Forest", {"n_estimators": ("int", 2, 5), "max_depth": ("int", 1, 8)})
+    rows = _search_rows(spark, sf)
+    best, score, trials = tuning.sequential_search("Random Forest", rows, trials=13)
+    assert len(trials) == 13 and score == max(s for _, s in trials) and (best, score) in trials
+    assert trials == tuning.sequential_search("Random Forest", rows, trials=13)[2]
+    with pytest.raises(ValueError):
+        tuning.sequential_search("SVM", rows)
+
+
+def test_fold_metrics_equal_the_tables(spark, prepared):
+    scored = prepared.rows.filter("split = 'test'").select("label", F.when(F.col("label") < 3, 1.0).otherwise(F.col("label")).alias("prediction"))
+    row = metric_row(confusion(scored, "label", "prediction")).first()
+    counts = [tuple(r) for r in scored.groupBy("label", "prediction").count().collect()]
+    assert tuning.fold_metrics(counts) == pytest.approx((row["accuracy"], row["weighted_f1"]))
+    assert tuning.fold_metrics([]) == (0.0, 0.0)
+
+
+def test_kept_artefacts_are_made_once(spark, tmp_path):
+    made = []
+
+    def make(folder):
+        made.append(folder)
+        spark.range(3).write.parquet(folder)
+
+    key = [str(tmp_path), 1]
+    folders = {kept(spark, "test", key, make) for _ in range(3)}
+    assert len(made) == 1 and folders == set(made) and spark.read.parquet(made[0]).count() == 3
+    assert kept(spark, "test", [*key, 2], make) != made[0] and len(made) == 2
+    spark.range(5).write.parquet(str(tmp_path / "t"))
+    before = files_print(spark, [str(tmp_path / "t")])
+    assert before == files_print(spark, [str(tmp_path / "t")])
+    spark.range(5).write.mode("append").parquet(str(tmp_path / "t"))
+    assert before != files_print(spark, [str(tmp_path / "t")])
+
+
 def test_whole_run(spark, sf, tmp_path, monkeypatch):
     monkeypatch.setattr(training.M, "candidate_models", lambda n, k, w, r: {
         "Random Forest": RandomForestClassifier(numTrees=5, maxDepth=6, seed=1), "KNN": KnnClassifier(k=7)})
@@ -214,9 +252,16 @@ def test_feature_list_matches_scaled_names():
     assert scaled_names() == [f"z_{c}" for c in feature_names()]
 
 
-def test_registered_searches_do_the_whole_job(spark, sf, monkeypatch):
+def test_registered_searches_do_the_whole_job(spark, sf, monkeypatch, tmp_path):
     fits = []
 
+    def made(spark, purpose, key, make):
+        folder = str(tmp_path / f"{purpose}-{len(list(tmp_path.iterdir()))}")
+        make(folder)
+        return folder
+
+    monkeypatch.setattr(queries_train, "kept", made)
+
     def scores(estimators, df, *args, **kwargs):
         fits.append(list(estimators))
         return [(i / 100, i / 100, 1.0) for i in range(len(fits[-1]))]

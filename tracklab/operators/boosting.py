@@ -27,14 +27,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasProbabilityCol,
                                      HasSeed, HasStepSize)
-from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable,
-                             DefaultParamsWriter, MLReader, MLWriter)
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklab import schema as S
-from tracklab.operators.learning import bin_edges, binned, labelled, matrix, uniform, with_prediction
+from tracklab.operators.learning import Stored, bin_edges, binned, labelled, matrix, uniform, with_prediction
 from tracklab.sources.staging import stage
 
 # The functions here travel with the tasks that use them: executors need no copy of this package.
@@ -460,7 +459,7 @@ class Forest:
         return out
 
 
-class JointBoostingModel(Model, _Shared):
+class JointBoostingModel(Stored, Model, _Shared):
     """Softmax of the summed trees; the first most probable class is predicted."""
 
     @keyword_only
@@ -495,43 +494,14 @@ class JointBoostingModel(Model, _Shared):
 
         return with_prediction(dataset, chances(vector_to_array(self.getFeaturesCol())), self.getProbabilityCol(), self.getPredictionCol())
 
-    def write(self) -> MLWriter:
-        return _Writer(self)
+    def state(self) -> dict:
+        return {"prior": self.prior, "width": self.width}
 
-    def save(self, path: str) -> None:
-        self.write().save(path)
+    def restore(self, state: dict) -> None:
+        self.prior, self.width = state["prior"], state["width"]
 
-    @classmethod
-    def read(cls) -> MLReader:
-        return _Reader(cls)
+    def save_tables(self, spark: SparkSession, path: str) -> None:
+        self.node_table(spark).coalesce(1).write.parquet(f"{path}/nodes")
 
-    @classmethod
-    def load(cls, path: str) -> "JointBoostingModel":
-        return cls.read().load(path)
-
-
-class _Writer(MLWriter):
-    def __init__(self, instance):
-        super().__init__()
-        self.instance = instance
-
-    def saveImpl(self, path: str) -> None:
-        model = self.instance
-        DefaultParamsWriter.saveMetadata(model, path, self.sc, extraMetadata={"prior": model.prior, "width": model.width})
-        model.node_table(self.sparkSession).coalesce(1).write.parquet(f"{path}/nodes")
-
-
-class _Reader(MLReader):
-    def __init__(self, cls):
-        super().__init__()
-        self.cls = cls
-
-    def load(self, path: str) -> JointBoostingModel:
-        metadata = DefaultParamsReader.loadMetadata(path, self.sc)
-        model = self.cls()
-        model._resetUid(metadata["uid"])
-        DefaultParamsReader.getAndSetParams(model, metadata)
-        model.prior, model.width = metadata["prior"], metadata["width"]
-        rows = self.sparkSession.read.parquet(f"{path}/nodes").orderBy("round", "class", "node").collect()
-        model.nodes = [tuple(r) for r in rows]
-        return model
+    def load_tables(self, spark: SparkSession, path: str) -> None:
+        self.nodes = [tuple(r) for r in spark.read.parquet(f"{path}/nodes").orderBy("round", "class", "node").collect()]

@@ -22,13 +22,12 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed
-from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable,
-                             DefaultParamsWriter, MLReader, MLWriter)
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklab import schema as S
-from tracklab.operators.learning import bin_edges, binned, labelled, with_prediction
+from tracklab.operators.learning import Stored, bin_edges, binned, labelled, with_prediction
 from tracklab.operators.small import literal_table
 
 # The functions here travel with the tasks that use them: executors need no copy of this package.
@@ -237,7 +236,7 @@ class Scorer:
         return out / len(self.roots)
 
 
-class ForestModel(Model, HasFeaturesCol, HasPredictionCol, HasProbabilityCol):
+class ForestModel(Stored, Model, HasFeaturesCol, HasPredictionCol, HasProbabilityCol):
     """Mean of the trees' class shares; the first most probable class is predicted."""
 
     maxDepth = Param(Params._dummy(), "maxDepth", "depth of a tree, 0 for any", TypeConverters.toInt)
@@ -273,44 +272,16 @@ class ForestModel(Model, HasFeaturesCol, HasPredictionCol, HasProbabilityCol):
 
         return with_prediction(dataset, chances(vector_to_array(self.getFeaturesCol())), self.getProbabilityCol(), self.getPredictionCol())
 
-    def write(self) -> MLWriter:
-        return _Writer(self)
+    def state(self) -> dict:
+        return {"classes": self.classes}
 
-    def save(self, path: str) -> None:
-        self.write().save(path)
-
-    @classmethod
-    def read(cls) -> MLReader:
-        return _Reader(cls)
-
-    @classmethod
-    def load(cls, path: str) -> "ForestModel":
-        return cls.read().load(path)
-
-
-class _Writer(MLWriter):
-    def __init__(self, instance):
-        super().__init__()
-        self.instance = instance
-
-    def saveImpl(self, path: str) -> None:
-        model = self.instance
-        DefaultParamsWriter.saveMetadata(model, path, self.sc, extraMetadata={"classes": model.classes})
-        rows = [(i, t.packed()) for i, t in enumerate(model.trees)]
-        literal_table(self.sparkSession, rows, "tree int, nodes binary").coalesce(1).write.parquet(f"{path}/trees")
+    def restore(self, state: dict) -> None:
+        self.classes = state["classes"]
 
+    def save_tables(self, spark: SparkSession, path: str) -> None:
+        rows = [(i, t.packed()) for i, t in enumerate(self.trees)]
+        literal_table(spark, rows, "tree int, nodes binary").coalesce(1).write.parquet(f"{path}/trees")
 
-class _Reader(MLReader):
-    def __init__(self, cls):
-        super().__init__()
-        self.cls = cls
-
-    def load(self, path: str) -> ForestModel:
-        metadata = DefaultParamsReader.loadMetadata(path, self.sc)
-        model = self.cls()
-        model._resetUid(metadata["uid"])
-        DefaultParamsReader.getAndSetParams(model, metadata)
-        model.classes = metadata["classes"]
-        rows = self.sparkSession.read.parquet(f"{path}/trees").orderBy("tree").collect()
-        model.trees = [Tree.unpacked(bytes(r["nodes"]), model.classes) for r in rows]
-        return model
+    def load_tables(self, spark: SparkSession, path: str) -> None:
+        rows = spark.read.parquet(f"{path}/trees").orderBy("tree").collect()
+        self.trees = [Tree.unpacked(bytes(r["nodes"]), self.classes) for r in rows]

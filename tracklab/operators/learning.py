@@ -10,8 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The functions here travel with the tasks that use them: executors need no copy of this package.
@@ -76,34 +76,19 @@ def with_prediction(dataset: DataFrame, scores, vector: str, prediction: str) ->
             .withColumn(vector, array_to_vector(F.col(name))).drop(name))
 
 
-class Stored:
-    """A model whose ``state()``, plain values, is kept with its parameters; ``restore`` takes it back."""
-
-    def write(self) -> MLWriter:
-        return _Writer(self)
-
-    def save(self, path: str) -> None:
-        self.write().save(path)
-
-    @classmethod
-    def read(cls) -> MLReader:
-        return _Reader(cls)
-
-    @classmethod
-    def load(cls, path: str):
-        return cls.read().load(path)
-
+class StoredWriter(MLWriter):
+    """Parameters and state as metadata; ``save_tables`` of the model writes what is a table."""
 
-class _Writer(MLWriter):
     def __init__(self, instance):
         super().__init__()
         self.instance = instance
 
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sc, extraMetadata=self.instance.state())
+        self.instance.save_tables(self.sparkSession, path)
 
 
-class _Reader(MLReader):
+class StoredReader(MLReader):
     def __init__(self, cls):
         super().__init__()
         self.cls = cls
@@ -114,4 +99,22 @@ class _Reader(MLReader):
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         model.restore(metadata)
+        model.load_tables(self.sparkSession, path)
         return model
+
+
+class Stored(MLWritable, MLReadable):
+    """A model whose ``state()``, plain values, is kept with its parameters; ``restore`` takes it back."""
+
+    def write(self) -> MLWriter:
+        return StoredWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return StoredReader(cls)
+
+    def save_tables(self, spark: SparkSession, path: str) -> None:
+        pass
+
+    def load_tables(self, spark: SparkSession, path: str) -> None:
+        pass

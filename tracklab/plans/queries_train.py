@@ -1,40 +1,60 @@
 """Registered queries: model comparison, search, training and scoring.
 
-Fitted models depend on solver details, so these have no oracle; the tests check
-their quality and invariants instead.
+Fitted models depend on solver details, so queries on them have no oracle or one of
+invariants; scoring itself is compared by value with a small hand-written model.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+import math
+from collections import Counter
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tracklab import schema as S
 from tracklab.functions.features import feature_names
 from tracklab.operators import infer, models, recommend, tuning
+from tracklab.operators.boosting import JointBoostingModel
 from tracklab.operators.cleaning import numeric_columns
+from tracklab.operators.metrics import confusion
+from tracklab.operators.small import literal_table
 from tracklab.plans import evaluation, training
-from tracklab.plans.oracle_views import on_tracks
+from tracklab.plans.oracle_views import CLASSES, PLAYLISTS, on_tracks, values
 from tracklab.plans.queries_model import _SCALED as SCALED_SQL
 from tracklab.plans.queries_model import FEATURE_SQL
-from tracklab.plans.registry import query
+from tracklab.plans.registry import query, rounded
 from tracklab.session import scratch_dir
+from tracklab.sources.artefacts import files_print, kept
 from tracklab.sources.tables import tracks
 
 TARGET, IDS = "signal_genre", ["track_id"]
 
 
-@lru_cache(maxsize=4)
+def _source(spark, sf) -> str:
+    return files_print(spark, [f"{sf}/{name}.parquet" for name in ("lineitem", "part", "orders")])
+
+
 def _prepared(spark, sf) -> training.Prepared:
-    return training.prepared_rows(tracks(spark, sf, busy=True), TARGET, IDS, mapped=True)
+    """Split and scaled rows, the fitted preprocessor and the labels, made once per state of the source files."""
+    def make(folder):
+        made = training.prepared_rows(tracks(spark, sf, busy=True), TARGET, IDS, mapped=True)
+        made.rows.write.parquet(f"{folder}/rows")
+        made.preprocessor.write().save(f"{folder}/preprocessor")
+        literal_table(spark, list(enumerate(made.labels)), "code int, label string").coalesce(1).write.parquet(f"{folder}/labels")
+
+    folder = kept(spark, "prepared", [_source(spark, sf)], make)
+    labels = spark.read.parquet(f"{folder}/labels").orderBy("code").collect()
+    return training.Prepared(spark.read.parquet(f"{folder}/rows"), PipelineModel.load(f"{folder}/preprocessor"), [r["label"] for r in labels])
 
 
-@lru_cache(maxsize=4)
 def _search_rows(spark, sf):
-    return training.folds_for_search(_prepared(spark, sf), TARGET, IDS)
+    def make(folder):
+        training.folds_for_search(_prepared(spark, sf), TARGET, IDS).write.parquet(folder)
+
+    return spark.read.parquet(kept(spark, "search-rows", [_source(spark, sf), S.CV_SUBSAMPLE, S.CV_FOLDS], make))
 
 
 def _fitted_rows(rows) -> int:
@@ -42,22 +62,27 @@ def _fitted_rows(rows) -> int:
     return rows.count() * (S.CV_FOLDS - 1) // S.CV_FOLDS
 
 
-@lru_cache(maxsize=4)
 def _pipeline(spark, sf) -> PipelineModel:
-    """The full forest candidate fitted on train plus validation rows, saved and loaded again."""
-    prepared = _prepared(spark, sf)
-    rows = prepared.rows.filter("split IN ('train', 'val')").count()
-    forest = models.candidate_models(rows, len(S.CLASSES))["Random Forest"]
-    fitted = models.fit_final(forest, prepared.rows)
-    scoring = infer.bundle(prepared.preprocessor, fitted, models.label_decoder(prepared.labels))
-    path = scratch_dir(spark, "scoring-pipeline")
-    scoring.write().save(path)
-    return PipelineModel.load(path)
+    """The full forest candidate fitted on train plus validation rows; scoring only loads it."""
+    def make(folder):
+        prepared = _prepared(spark, sf)
+        rows = prepared.rows.filter("split IN ('train', 'val')").count()
+        forest = models.candidate_models(rows, len(S.CLASSES))["Random Forest"]
+        fitted = models.fit_final(forest, prepared.rows)
+        infer.bundle(prepared.preprocessor, fitted, models.label_decoder(prepared.labels)).write().save(folder)
+
+    return PipelineModel.load(kept(spark, "forest", [_source(spark, sf)], make))
 
 
 def _comparison(spark, sf):
-    rows = _search_rows(spark, sf)
-    return tuning.compare_models(models.candidate_models(_fitted_rows(rows), len(S.CLASSES)), rows)
+    """All six candidates, compared once per state of the source files."""
+    def make(folder):
+        rows = _search_rows(spark, sf)
+        candidates = models.candidate_models(_fitted_rows(rows), len(S.CLASSES))
+        tuning.compare_models(candidates, rows).coalesce(1).write.parquet(folder)
+
+    found = spark.read.parquet(kept(spark, "comparison", [_source(spark, sf)], make))
+    return found.orderBy(F.desc("mean_f1_weighted"), "model")
 
 
 @query()
@@ -72,18 +97,66 @@ def best_model(spark, sf):
     return _comparison(spark, sf).limit(1)
 
 
+@query("SELECT CAST(6 AS BIGINT) AS candidates, CAST(6 AS BIGINT) AS known, " + ", ".join(
+    f"CAST(0 AS BIGINT) AS {c}" for c in ("bad_score", "below_guessing", "best_not_first")))
+def comparison_invariants(spark, sf):
+    """What every comparison must satisfy: all candidates, scores from 0 to 1 and above the share of the largest
+    class, and a best model that no other beats."""
+    compared = _comparison(spark, sf)
+    best = best_model(spark, sf).first()
+    rows = _search_rows(spark, sf)
+    largest = rows.groupBy("label").count().agg(F.max("count") / F.sum("count")).first()[0]
+    scores = F.array("mean_cv_accuracy", "mean_f1_weighted")
+    return compared.agg(
+        F.count("*").alias("candidates"), F.count_if(F.col("model").isin(*models.candidate_models(1, 2))).alias("known"),
+        F.count_if(F.exists(scores, lambda x: x.isNull() | ~x.between(0, 1))).alias("bad_score"),
+        F.count_if(F.col("mean_cv_accuracy") < largest).alias("below_guessing"),
+        F.count_if(F.col("mean_f1_weighted") > best["mean_f1_weighted"]).alias("best_not_first"))
+
+
+def _history(spark, sf, name: str, run, baseline: float):
+    """Trials of a search, run once per state of the source files, with the running best."""
+    def make(folder):
+        _, _, trials = run(_search_rows(spark, sf))
+        literal_table(spark, [(i, score) for i, (_, score) in enumerate(trials)], "trial int, score double").coalesce(1).write.parquet(folder)
+
+    rows = spark.read.parquet(kept(spark, name, [_source(spark, sf), baseline], make)).orderBy("trial").collect()
+    return tuning.trial_history(spark, [({}, r["score"]) for r in rows], baseline=baseline)
+
+
+def _grid(spark, sf):
+    return _history(spark, sf, "grid", lambda rows: tuning.grid_search("Random Forest", rows, len(S.CLASSES), models.WIDTH), 0.0)
+
+
 @query()
 def grid_search(spark, sf):
     """The forest's whole grid."""
-    _, _, trials = tuning.grid_search("Random Forest", _search_rows(spark, sf), len(S.CLASSES), models.WIDTH)
-    return tuning.trial_history(spark, trials, baseline=0.0)
+    return _grid(spark, sf)
 
 
 @query()
 def random_search(spark, sf):
     """The default number of trials, drawn from the forest's whole ranges."""
-    _, _, trials = tuning.random_search("Random Forest", _search_rows(spark, sf), len(S.CLASSES), models.WIDTH)
-    return tuning.trial_history(spark, trials, baseline=0.5)
+    return _history(spark, sf, "random", lambda rows: tuning.random_search("Random Forest", rows, len(S.CLASSES), models.WIDTH), 0.5)
+
+
+@query()
+def sequential_search(spark, sf):
+    """The default number of trials over the forest's whole ranges, each proposed from those before it."""
+    return _history(spark, sf, "sequential", lambda rows: tuning.sequential_search("Random Forest", rows), 0.5)
+
+
+@query("SELECT CAST(18 AS BIGINT) AS trials, " + ", ".join(
+    f"CAST(0 AS BIGINT) AS {c}" for c in ("bad_score", "falling_best", "best_not_reached", "bad_improvement")))
+def grid_search_invariants(spark, sf):
+    """What a search's history must satisfy: every grid point, scores from 0 to 1, a best that never falls and is a score."""
+    history = _grid(spark, sf)
+    before = Window.orderBy("trial")
+    seen = history.withColumn("top", F.max("score").over(before)).withColumn("last", F.lag("best").over(before))
+    return seen.agg(
+        F.countDistinct("trial").alias("trials"), F.count_if(~F.col("score").between(0, 1)).alias("bad_score"),
+        F.count_if(F.col("best") < F.col("last")).alias("falling_best"), F.count_if(F.col("best") != F.col("top")).alias("best_not_reached"),
+        F.count_if(F.abs(F.col("improvement") - F.col("best")) > 1e-12).alias("bad_improvement"))
 
 
 @query()
@@ -171,3 +244,98 @@ def numeric_inputs(spark, sf):
     """Numeric columns by type: booleans are not among them."""
     t = tracks(spark, sf)
     return t.agg(*[F.count(c).alias(c) for c in numeric_columns(t, among=S.FEATURES)])
+
+
+# A small hand-written model: per class a tree of two cuts of scaled features, (feature, cut, value up to it,
+# feature, cut, value up to it, value above), so that SQL can give every score.
+_FIXED = {
+    "acoustic": ("acousticness", 0.611, -0.9, "valence", -0.237, 1.1, 1.4), "alternative": ("danceability", -0.433, 0.8, "energy", 0.117, -0.2, -0.7),
+    "dance": ("danceability", 0.329, -0.6, "popularity", 0.541, 0.9, 1.3), "electronic": ("energy", 0.279, -0.5, "tempo", 0.123, 0.7, 1.2),
+    "heavy": ("energy", 0.913, -0.4, "liveness", -0.371, 0.35, 0.95), "vocal": ("speechiness", 0.437, -1.0, "valence", 0.251, 1.6, 0.65),
+}
+_FIXED_PRIOR = -1.7
+
+
+def _fixed_pipeline(spark, sf) -> PipelineModel:
+    names, nodes = feature_names(), []
+    for c, label in enumerate(S.CLASSES):
+        f, cut, low, g, second, middle, high = _FIXED[label]
+        nodes += [(0, c, 0, names.index(f), cut, 1, 2, 0.0, 0.0, 0.0), (0, c, 1, -1, math.inf, -1, -1, low, 0.0, 0.0),
+                  (0, c, 2, names.index(g), second, 3, 4, 0.0, 0.0, 0.0), (0, c, 3, -1, math.inf, -1, -1, middle, 0.0, 0.0),
+                  (0, c, 4, -1, math.inf, -1, -1, high, 0.0, 0.0)]
+    model = JointBoostingModel()
+    model.prior, model.nodes, model.width = [_FIXED_PRIOR] * len(S.CLASSES), nodes, len(names)
+    prepared = _prepared(spark, sf)
+    return infer.bundle(prepared.preprocessor, model, models.label_decoder(prepared.labels))
+
+
+def _on_fixed(sql: str, *ctes: str) -> str:
+    scores = ", ".join(
+        f"exp({_FIXED_PRIOR} + CASE WHEN z_{f} <= {cut} THEN {low} WHEN z_{g} <= {second} THEN {middle} ELSE {high} END) AS e_{c}"
+        for c, (f, cut, low, g, second, middle, high) in _FIXED.items())
+    total = "(" + " + ".join(f"e_{c}" for c in S.CLASSES) + ")"
+    shares = ", ".join(f"e_{c} / {total} AS {c}" for c in S.CLASSES)
+    first = "CASE " + " ".join(f"WHEN {c} = top THEN '{c}'" for c in S.CLASSES) + " END"
+    return on_tracks(sql, *SCALED_SQL, f"raised AS (SELECT track_id, {scores} FROM scaled)", f"shares AS (SELECT track_id, {shares} FROM raised)",
+                     f"fixed AS (SELECT *, {first} AS predicted_genre FROM (SELECT *, greatest({', '.join(S.CLASSES)}) AS top FROM shares))", *ctes)
+
+
+@query(_on_fixed("SELECT track_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in S.CLASSES) + " FROM fixed"))
+def fixed_tree_proba(spark, sf):
+    """Probabilities of every track under the hand-written trees."""
+    return rounded(infer.predict_proba(tracks(spark, sf), _fixed_pipeline(spark, sf), IDS), S.CLASSES)
+
+
+@query(_on_fixed("SELECT track_id, predicted_genre, round(top, 6) AS top FROM fixed"))
+def fixed_tree_labels(spark, sf):
+    """Label of every track and its probability under the hand-written trees."""
+    scored = _fixed_pipeline(spark, sf).transform(tracks(spark, sf))
+    return scored.select("track_id", "predicted_genre", F.round(F.array_max(vector_to_array("probability")), 6).alias("top"))
+
+
+@query(_on_fixed("SELECT track_id, rank, class, probability FROM (SELECT track_id, class, round(p, 6) AS probability, "
+                 "CAST(row_number() OVER (PARTITION BY track_id ORDER BY p DESC, class) AS INT) AS rank FROM ("
+                 + " UNION ALL ".join(f"SELECT track_id, '{c}' AS class, {c} AS p FROM fixed" for c in S.CLASSES) + ")) WHERE rank <= 3"))
+def fixed_tree_ranked(spark, sf):
+    """The three most probable classes of every track under the hand-written trees."""
+    return rounded(infer.ranked_classes(tracks(spark, sf), _fixed_pipeline(spark, sf), IDS, k=3), ["probability"])
+
+
+@query(_on_fixed("SELECT track_id, predicted_genre, pos, name FROM fixed JOIN playlists ON predicted_genre = genre", PLAYLISTS))
+def fixed_tree_recommendations(spark, sf):
+    """Playlists of every track's class under the hand-written trees."""
+    scored = infer.score_batch(tracks(spark, sf), _fixed_pipeline(spark, sf)).select("track_id", "predicted_genre")
+    return recommend.recommend_playlists(scored, "predicted_genre").select("track_id", "predicted_genre", "pos", "name")
+
+
+@query(_on_fixed(
+    "SELECT y_true, y_pred, coalesce(n, 0) AS n FROM (SELECT a.cls AS y_true, b.cls AS y_pred FROM classes a, classes b) "
+    "LEFT JOIN (SELECT t.signal_genre AS y_true, f.predicted_genre AS y_pred, count(*) AS n FROM tracks t JOIN fixed f USING (track_id) "
+    "GROUP BY ALL) USING (y_true, y_pred)", CLASSES))
+def fixed_tree_confusion(spark, sf):
+    """Confusion of true and predicted labels of all tracks under the hand-written trees."""
+    scored = _fixed_pipeline(spark, sf).transform(tracks(spark, sf)).select(F.col(TARGET).alias("y_true"), F.col("predicted_genre").alias("y_pred"))
+    return confusion(scored, labels=S.CLASSES)
+
+
+_FIXED_USES = Counter(f for cuts in _FIXED.values() for f in (cuts[0], cuts[3]))
+
+
+@query("SELECT feature, CAST(importance AS BIGINT) AS importance, original FROM ("
+       + values((n, _FIXED_USES.get(n, 0), str(n in S.FEATURES).lower() == "true") for n in feature_names())
+       + ") AS t(feature, importance, original)")
+def fixed_tree_importance(spark, sf):
+    """Splits per feature, counted over the node table of the hand-written trees."""
+    return models.split_counts(spark, _fixed_pipeline(spark, sf).stages[-2])
+
+
+@query("SELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS differing FROM lineitem")
+def reload_equality(spark, sf):
+    """A saved and reloaded pipeline scores every track as the one in memory."""
+    first = _fixed_pipeline(spark, sf)
+    path = scratch_dir(spark, "reloaded")
+    first.write().save(path)
+    a, b = (p.transform(tracks(spark, sf)).select("track_id", F.col("prediction").alias(f"p{i}"), vector_to_array("probability").alias(f"q{i}"))
+            for i, p in enumerate((first, PipelineModel.load(path))))
+    same = F.col("p0").eqNullSafe(F.col("p1")) & F.col("q0").eqNullSafe(F.col("q1"))
+    return a.join(b, "track_id").agg(F.count("*").alias("rows_scored"), F.count_if(~same).alias("differing"))
