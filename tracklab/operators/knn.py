@@ -1,9 +1,12 @@
 """Exact k-nearest-neighbour vote (M9).
 
 A training side of checked size is broadcast as one matrix and queries are scored in
-a map-only pass.  A larger one is cut into blocks, every (query block, training block)
-cell finds its k best, and the k best of all cells are merged per query: no
-candidate is skipped, and a cell has a bounded size.
+a map-only pass.  A larger one is joined through cells: training rows belong to the nearest of
+some pivots, and the distances to the pivots bound the distance of a query to every row of a
+cell.  A query first meets the nearest cells that hold k rows; then only the cells whose bound is
+not above the kth distance found there.  No row that could be among the k best is skipped.
+Cells are cut into blocks of bounded size and a cell's queries into parts, so that a cell of
+many rows or queries is spread over tasks.
 """
 
 from __future__ import annotations
@@ -14,50 +17,80 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable,
-                             DefaultParamsWriter, MLReader, MLWriter)
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window as W
 
+from tracklab.operators.learning import Stored, matrix
+from tracklab.operators.small import literal_table
+from tracklab.sources.staging import stage
+
 # Executors need not have this package installed: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BROADCAST_CELLS = 16_000_000   # rows x dimensions of a training side kept on every executor
 BLOCK_ROWS = 5_000
-CHUNK_CELLS = 8_000_000
+PART_ROWS = 20_000             # queries of a cell that one task answers
+MOST_PIVOTS = 1_000
+CHUNK_CELLS = 4_000_000
+SPARE = 8                      # candidates measured exactly beyond the k best rough ones
 
 
-def _nearest(queries: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query index, point indices, squared distances) of the k nearest, ties by point order.
+def _nearest(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Point indices and squared distances of the k nearest (or of all points), ties by point order.
 
-    A matrix product finds the candidates; its rounding error is far below the slack
-    allowed around the k-th distance, and candidates are then measured exactly.
+    A matrix product finds some more candidates than asked for and these are measured exactly.
+    Its rounding error is far below the slack allowed: where the roughly last candidate is not
+    farther than the kth by more than that, the query is measured against all points.
     """
-    k = min(k, len(points))
-    step = max(1, CHUNK_CELLS // max(len(points), 1))
+    k, m = min(k, len(points)), min(k + SPARE, len(points))
+    index, distance = np.empty((len(queries), k), np.int64), np.empty((len(queries), k))
     norms = np.einsum("pd,pd->p", points, points)
-    for start in range(0, len(queries), step):
+    step = max(1, CHUNK_CELLS // max(len(points), m * points.shape[1] if len(points) else 1, 1))
+    for start in range(0, len(queries) if k else 0, step):
         chunk = queries[start:start + step]
-        rough = np.einsum("qd,qd->q", chunk, chunk)[:, None] + norms[None, :] - 2 * chunk @ points.T
-        kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
-        slack = 1e-9 * (1 + np.einsum("qd,qd->q", chunk, chunk) + norms.max())
-        for i in range(len(chunk)):
-            near = np.flatnonzero(rough[i] <= kth[i] + slack[i])
-            diff = points[near] - chunk[i]
-            distance = np.einsum("pd,pd->p", diff, diff)
-            order = np.argsort(distance, kind="stable")[:k]
-            yield start + i, near[order], distance[order]
-
-
-def _vote(labels: np.ndarray) -> float:
-    values, counts = np.unique(labels, return_counts=True)
-    return values[np.argmax(counts)]
+        own = np.einsum("qd,qd->q", chunk, chunk)
+        rough = own[:, None] + norms[None, :] - 2 * chunk @ points.T
+        if m < len(points):
+            near = np.argpartition(rough, m - 1, axis=1)[:, :m]
+            last = np.take_along_axis(rough, near, 1).max(axis=1)
+        else:
+            near, last = np.broadcast_to(np.arange(m), (len(chunk), m)), np.full(len(chunk), np.inf)
+        diff = points[near] - chunk[:, None, :]
+        exact = np.einsum("qmd,qmd->qm", diff, diff)
+        order = np.lexsort((near, exact), axis=1)[:, :k]
+        found, far = np.take_along_axis(near, order, 1), np.take_along_axis(exact, order, 1)
+        slack = 1e-9 * (1 + own + norms.max())
+        for i in np.flatnonzero(last <= far[:, -1] + slack):
+            diff = points - chunk[i]
+            whole = np.einsum("pd,pd->p", diff, diff)
+            found[i] = np.argsort(whole, kind="stable")[:k]
+            far[i] = whole[found[i]]
+        index[start:start + step], distance[start:start + step] = found, far
+    return index, distance
+
+
+def _first_others(other: np.ndarray, k: int) -> np.ndarray:
+    """Of the places marked in ``other``, the first k of every row."""
+    return other & (np.cumsum(other, axis=1) <= k)
+
+
+def _vote(labels: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """Most frequent label of the places in use, the lowest of equally frequent ones; NaN without any."""
+    values, codes = np.unique(labels, return_inverse=True)
+    codes = codes.reshape(labels.shape)
+    rows = np.broadcast_to(np.arange(len(labels))[:, None], labels.shape)
+    counts = np.bincount((rows * len(values) + codes)[use], minlength=len(labels) * len(values)).reshape(len(labels), -1)
+    return np.where(use.any(axis=1), values[counts.argmax(axis=1)], np.nan) if len(values) else np.full(len(labels), np.nan)
 
 
 def knn_vote(queries: DataFrame, train: DataFrame, k: int = 7, leave_one_out: bool = False,
@@ -69,7 +102,7 @@ def knn_vote(queries: DataFrame, train: DataFrame, k: int = 7, leave_one_out: bo
     """
     table = _small_side(train, broadcast_cells)
     if table is None:
-        return _vote_blocks(queries, train, k, leave_one_out, block_rows)
+        return _vote_of(neighbours(queries, train, k, leave_one_out, block_rows))
     vote = _broadcast_vote(queries.sparkSession, table, k, leave_one_out)
     return queries.select("id", vote("x", "id" if leave_one_out else F.lit(0)).alias("prediction"))
 
@@ -93,52 +126,160 @@ def _broadcast_vote(spark, table, k: int, leave_one_out: bool):
     def vote(x: pd.Series, own: pd.Series) -> pd.Series:
         point_ids, point_labels, points = shared.value
         rows = np.array(x.tolist(), dtype=float).reshape(len(x), -1)
-        mine = own.to_numpy()
-        out = np.empty(len(rows))
-        for i, near, _ in _nearest(rows, points, k + leave_one_out):
-            if leave_one_out:
-                near = near[point_ids[near] != mine[i]][:k]
-            out[i] = _vote(point_labels[near])
-        return pd.Series(out)
+        near, _ = _nearest(rows, points, k + leave_one_out)
+        other = point_ids[near] != own.to_numpy()[:, None] if leave_one_out else np.ones(near.shape, bool)
+        return pd.Series(_vote(point_labels[near], _first_others(other, k)))
 
     return vote
 
 
-def _vote_blocks(queries, train, k, leave_one_out, block_rows):
-    def blocks(df, name):
-        n = max(1, math.ceil(df.count() / block_rows))
-        return n, df.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-
-    nq, q = blocks(queries.select("id", "x"), "_q")
-    nt, t = blocks(train.select("id", "x", F.col("label").cast("double").alias("label")), "_t")
-    q = q.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(nt - 1))))
-    t = t.withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-    id_type, point_type = (d.schema["id"].dataType.simpleString() for d in (queries, train))
-    schema = f"id {id_type}, neighbour {point_type}, label double, distance double"
-
-    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows = {"id": [], "neighbour": [], "label": [], "distance": []}
-        if len(left) and len(right):
-            right = right.sort_values("id")
-            own, ids, labels = left["id"].to_numpy(), right["id"].to_numpy(), right["label"].to_numpy()
-            x = np.array(left["x"].tolist(), dtype=float)
-            points = np.array(right["x"].tolist(), dtype=float)
-            for i, near, distance in _nearest(x, points, k + leave_one_out):
-                if leave_one_out:
-                    other = ids[near] != own[i]
-                    near, distance = near[other][:k], distance[other][:k]
-                rows["id"].extend([own[i]] * len(near))
-                rows["neighbour"].extend(ids[near])
-                rows["label"].extend(labels[near])
-                rows["distance"].extend(distance)
-        return pd.DataFrame(rows)
-
-    found = q.groupBy("_q", "_t").cogroup(t.groupBy("_q", "_t")).applyInPandas(cell, schema)
+class _Pivots:
+    """Pivots with what is known of their cells: rows, least and greatest distance to the pivot."""
+
+    def __init__(self, points: np.ndarray):
+        self.points = points
+        self.apart = np.stack([np.sqrt(((points - p) ** 2).sum(axis=1)) for p in points]) if len(points) else np.zeros((0, 0))
+        self.rows = self.least = self.most = np.zeros(len(points))
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.sqrt(((x - p) ** 2).sum(axis=1)) for p in self.points], axis=1)
+
+    def home(self, x: np.ndarray, need: int) -> list[list[int]]:
+        """The nearest cells that hold ``need`` rows together."""
+        order = np.argsort(self.distances(x), axis=1, kind="stable")
+        upto = np.cumsum(self.rows[order], axis=1)
+        return [o[:int(np.searchsorted(u, need)) + 1].tolist() for o, u in zip(order, upto)]
+
+    def within(self, x: np.ndarray, kth: np.ndarray) -> np.ndarray:
+        """Cells that may hold a row at most ``kth`` away, by the rings around and the planes between pivots."""
+        d = self.distances(x)
+        nearest = d.argmin(axis=1)
+        apart = self.apart[nearest]
+        # Of pivots that are close together the plane between them says too little to be exact.
+        clear = apart > 1e-6 * (1 + d.max(axis=1, initial=0.0))[:, None]
+        plane = np.where(clear, (d * d - (d.min(axis=1) ** 2)[:, None]) / (2 * np.where(clear, apart, 1.0)), 0.0)
+        bound = np.maximum(np.maximum(d - self.most, self.least - d), plane)
+        slack = 1e-9 * (1 + d.max(axis=1, initial=0.0) + kth)
+        return (bound <= (kth + slack)[:, None]) & (self.rows > 0)
+
+
+def neighbours(queries: DataFrame, train: DataFrame, k: int, leave_one_out: bool = False, block_rows: int = BLOCK_ROWS,
+               pivots: int | None = None, course: dict | None = None) -> DataFrame:
+    """(id, neighbour, label, distance): the k nearest training rows of every query, squared distances.
+
+    Ties go to the lower training id.  ``course`` receives how many pairs of a query and a row were
+    compared, and how many there are.
+    """
+    spark = queries.sparkSession
+    rows = stage(train.select(F.col("id").alias("neighbour"), "x", F.col("label").cast("double").alias("label")), "neighbour-rows")
+    asked = stage(queries.select("id", "x"), "neighbour-queries")
+    total = rows.count()
+    if not total:
+        none = F.lit(None)
+        return asked.limit(0).select("id", none.cast(rows.schema["neighbour"].dataType).alias("neighbour"),
+                                     *[none.cast("double").alias(c) for c in ("label", "distance")])
+    wanted = min(MOST_PIVOTS, max(1, math.isqrt(total))) if pivots is None else pivots
+    sample = rows.select("x").distinct().orderBy(F.xxhash64("x"), "x").limit(wanted).collect()
+    known = _Pivots(np.array([r["x"] for r in sample], dtype=float).reshape(len(sample), -1))
+    shared = spark.sparkContext.broadcast(vars(known))
+
+    def restored(values: dict) -> _Pivots:
+        out = object.__new__(_Pivots)
+        vars(out).update(values)
+        return out
+
+    @F.pandas_udf("cell int, radius double")
+    def placed(x: pd.Series) -> pd.DataFrame:
+        d = restored(shared.value).distances(np.array(x.tolist(), dtype=float).reshape(len(x), -1))
+        return pd.DataFrame({"cell": d.argmin(axis=1).astype("int32"), "radius": d.min(axis=1)})
+
+    rows = stage(rows.withColumn("p", placed("x")).select("neighbour", "x", "label", "p.cell", "p.radius"), "neighbour-cells")
+    known.rows, known.least, known.most = np.zeros(len(sample)), np.zeros(len(sample)), np.zeros(len(sample))
+    for r in rows.groupBy("cell").agg(F.count("*").alias("n"), F.min("radius").alias("a"), F.max("radius").alias("b")).collect():
+        known.rows[r["cell"]], known.least[r["cell"]], known.most[r["cell"]] = r["n"], r["a"], r["b"]
+    full = spark.sparkContext.broadcast(vars(known))
+    need = k + leave_one_out
+
+    @F.pandas_udf("array<int>")
+    def home(x: pd.Series) -> pd.Series:
+        return pd.Series(restored(full.value).home(np.array(x.tolist(), dtype=float).reshape(len(x), -1), need), dtype=object)
+
+    @F.pandas_udf("array<int>")
+    def further(x: pd.Series, kth: pd.Series) -> pd.Series:
+        use = restored(full.value).within(np.array(x.tolist(), dtype=float).reshape(len(x), -1), np.sqrt(kth.fillna(np.inf).to_numpy(float)))
+        return pd.Series([np.flatnonzero(u).tolist() for u in use], dtype=object)
+
+    first = stage(asked.withColumn("home", home("x")), "neighbour-home")
+    found = stage(_meet(first.withColumn("cell", F.explode("home")).drop("home"), rows, known.rows, need, leave_one_out, block_rows), "neighbour-found")
     by_distance = W.partitionBy("id").orderBy("distance", "neighbour")
-    votes = (
-        found.withColumn("_rank", F.row_number().over(by_distance)).filter(F.col("_rank") <= k)
-        .groupBy("id", "label").agg(F.count("*").alias("_votes"))
-    )
+    kth = found.withColumn("place", F.row_number().over(by_distance)).filter(F.col("place") == k).select("id", F.col("distance").alias("kth"))
+    later = first.join(kth, "id", "left").withColumn("cell", F.explode(F.array_except(further("x", "kth"), "home"))).select("id", "x", "cell")
+    later = stage(later, "neighbour-further")
+    if course is not None:
+        sizes = literal_table(spark, [(c, int(n)) for c, n in enumerate(known.rows)], "cell int, n long")
+        visits = later.select("cell").unionAll(first.select(F.explode("home").alias("cell")))
+        course["compared"] = visits.join(sizes, "cell").agg(F.sum("n")).first()[0] or 0
+        course["pairs"] = total * asked.count()
+    more = _meet(later, rows, known.rows, need, leave_one_out, block_rows)
+    best = found.unionByName(more).withColumn("place", F.row_number().over(by_distance))
+    return best.filter(F.col("place") <= k).drop("place")
+
+
+def _meet(asked: DataFrame, rows: DataFrame, sizes, k: int, leave_one_out: bool, block_rows: int) -> DataFrame:
+    """The k nearest rows (others, when left out itself) of every (query, cell), from each of the cell's blocks."""
+    spark = asked.sparkSession
+    per_cell = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    cuts = [(c, math.ceil(sizes[c] / block_rows), math.ceil(n / PART_ROWS)) for c, n in per_cell.items() if sizes[c]]
+    table = F.broadcast(literal_table(spark, cuts, "cell int, blocks int, parts int"))
+    id_type, row_type = asked.schema["id"].dataType, rows.schema["neighbour"].dataType
+
+    def dealt(df: DataFrame, own: str, by: str, name: str, other: str, other_name: str) -> DataFrame:
+        return (df.join(table, "cell").withColumn(name, F.pmod(F.xxhash64(by), F.col(own)).cast("int"))
+                .withColumn(other_name, F.explode(F.sequence(F.lit(0), F.col(other) - 1))))
+
+    left = dealt(rows, "blocks", "neighbour", "block", "parts", "part").select(
+        "cell", "block", "part", F.lit(0).alias("kind"), F.lit(None).cast(id_type).alias("id"), "neighbour", "label", "x")
+    right = dealt(asked, "parts", "id", "part", "blocks", "block").select(
+        "cell", "block", "part", F.lit(1).alias("kind"), "id", F.lit(None).cast(row_type).alias("neighbour"), F.lit(None).cast("double").alias("label"), "x")
+    struct = T.StructType([T.StructField("id", id_type), T.StructField("neighbour", row_type), T.StructField("label", T.DoubleType()),
+                           T.StructField("distance", T.DoubleType())])
+    arrow = to_arrow_schema(struct)
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, block = None, [], None
+        for batch in batches:
+            key = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
+            cuts = np.flatnonzero((np.diff(key, axis=0) != 0).any(axis=1)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(key)]):
+                if a == b:
+                    continue
+                part = batch.slice(int(a), int(b - a))
+                if at != tuple(key[a, :3]):
+                    at, parts, block = tuple(key[a, :3]), [], None
+                if key[a, 3] == 0:
+                    parts.append((part.column("neighbour"), part.column("label"), matrix(part.column("x"))))
+                    continue
+                if block is None:
+                    ids = pa.chunked_array([p[0] for p in parts]) if parts else pa.chunked_array([], arrow.types[1])
+                    order = np.argsort(ids.to_numpy(), kind="stable") if parts else np.empty(0, np.int64)
+                    block = ids.take(pa.array(order)).combine_chunks(), *(np.concatenate([p[i] for p in parts])[order] if parts else np.empty((0, 1)) for i in (1, 2))
+                    parts = []
+                ids, labels, points = block
+                near, distance = _nearest(matrix(part.column("x")), points, k)
+                use = np.ones(near.shape, bool)
+                if leave_one_out:
+                    use = _first_others(ids.to_numpy(zero_copy_only=False)[near] != part.column("id").to_numpy(zero_copy_only=False)[:, None], k - 1)
+                i, j = np.nonzero(use)
+                hit = near[i, j]
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(i)), ids.take(pa.array(hit)), pa.array(labels[hit], pa.float64()),
+                                                  pa.array(distance[i, j])], schema=arrow)
+
+    both = left.unionByName(right).repartition("cell", "block", "part").sortWithinPartitions("cell", "block", "part", "kind")
+    return both.mapInArrow(answered, struct)
+
+
+def _vote_of(found: DataFrame) -> DataFrame:
+    votes = found.groupBy("id", "label").agg(F.count("*").alias("_votes"))
     best = F.max_by("label", F.struct("_votes", -F.col("label")))
     return votes.groupBy("id").agg(best.alias("prediction"))
 
@@ -157,16 +298,15 @@ class KnnClassifier(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
 
     def _fit(self, dataset: DataFrame) -> "KnnModel":
         train = dataset.select(
-            F.monotonically_increasing_id().alias("id"),
             vector_to_array(self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).alias("label"),
-        )
+        ).withColumn("id", F.xxhash64("x", "label"))  # ties do not depend on the order of the rows
         model = KnnModel(k=self.getOrDefault(self.k), featuresCol=self.getFeaturesCol(),
                          predictionCol=self.getPredictionCol())
         model.train = train
         return model
 
 
-class KnnModel(Model, HasFeaturesCol, HasPredictionCol):
+class KnnModel(Stored, Model, HasFeaturesCol, HasPredictionCol):
     k = Param(Params._dummy(), "k", "neighbours that vote", TypeConverters.toInt)
 
     @keyword_only
@@ -183,44 +323,18 @@ class KnnModel(Model, HasFeaturesCol, HasPredictionCol):
             return dataset.withColumn(self.getPredictionCol(), vote(x, F.lit(0)))
         # Equal feature vectors get equal votes, so the vector itself is the join key.
         queries = dataset.select(x.alias("x")).distinct().select(F.to_json("x").alias("id"), "x")
-        votes = _vote_blocks(queries, self.train, k, False, BLOCK_ROWS).withColumnsRenamed(
+        votes = _vote_of(neighbours(queries, self.train, k)).withColumnsRenamed(
             {"id": "_id", "prediction": self.getPredictionCol()})
         return dataset.withColumn("_id", F.to_json(x)).join(votes, "_id").drop("_id")
 
-    def write(self) -> MLWriter:
-        return _KnnWriter(self)
-
-    def save(self, path: str) -> None:
-        self.write().save(path)
-
-    @classmethod
-    def read(cls) -> MLReader:
-        return _KnnReader(cls)
+    def state(self) -> dict:
+        return {}
 
-    @classmethod
-    def load(cls, path: str) -> "KnnModel":
-        return cls.read().load(path)
+    def restore(self, state: dict) -> None:
+        pass
 
+    def save_tables(self, spark: SparkSession, path: str) -> None:
+        self.train.write.parquet(f"{path}/train")
 
-class _KnnWriter(MLWriter):
-    def __init__(self, instance):
-        super().__init__()
-        self.instance = instance
-
-    def saveImpl(self, path: str) -> None:
-        DefaultParamsWriter.saveMetadata(self.instance, path, self.sc)
-        self.instance.train.write.parquet(f"{path}/train")
-
-
-class _KnnReader(MLReader):
-    def __init__(self, cls):
-        super().__init__()
-        self.cls = cls
-
-    def load(self, path: str) -> KnnModel:
-        metadata = DefaultParamsReader.loadMetadata(path, self.sc)
-        model = self.cls()
-        model._resetUid(metadata["uid"])
-        DefaultParamsReader.getAndSetParams(model, metadata)
-        model.train = self.sparkSession.read.parquet(f"{path}/train")
-        return model
+    def load_tables(self, spark: SparkSession, path: str) -> None:
+        self.train = spark.read.parquet(f"{path}/train")
