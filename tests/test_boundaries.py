@@ -405,6 +405,26 @@ def test_kernel_density_integrates_to_one(spark):
     assert math.isfinite(grid[0]["density"])
 
 
+@pytest.mark.parametrize("values", [
+    np.random.default_rng(2).normal(size=3000), np.random.default_rng(3).exponential(size=2000) ** 3, np.repeat([0.0, 1.0, 50.0], 40)])
+def test_kernel_density_equals_the_sum_of_kernels(spark, values):
+    df = literal_table(spark, [(float(v),) for v in values], "x double").repartition(4)
+    got = {r["i"]: (r["x"], r["density"]) for r in P.kernel_density(df, ["x"], points=120).collect()}
+    h = values.std(ddof=1) * len(values) ** -0.2
+    grid = values.min() + np.arange(120) * (values.max() - values.min()) / 119
+    want = [np.exp(-0.5 * ((g - values) / h) ** 2).sum() / (len(values) * h * math.sqrt(2 * math.pi)) for g in grid]
+    assert [got[i][0] for i in range(120)] == pytest.approx(grid.tolist(), abs=1e-9)
+    assert [got[i][1] for i in range(120)] == pytest.approx(want, abs=1e-12 / h + 1e-13)
+
+
+def test_label_codes_over_ranges(spark):
+    labels = [f"label {i:04d}" for i in range(700)] + ["", "Z", "é"]
+    df = literal_table(spark, [(x,) for x in labels * 2 + [None]], "c string").repartition(7)
+    got = {r["label"]: r["code"] for r in C.label_codes(df, "c").collect()}
+    assert got == {x: i for i, x in enumerate(sorted(labels))}
+    assert C.label_codes(df.limit(0), "c").count() == 0
+
+
 def test_histogram_constant_and_empty_bins(spark):
     df = literal_table(spark, [(2.0, 0.0), (2.0, 1.0), (2.0, None)], "c double, x double")
     got = {(r["feature"], r["bin"]): r["n"] for r in P.histogram(df, ["c", "x"], bins=4).collect()}

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window as W
 
 from tracklab import schema as S
 from tracklab.operators.ordered import PERCENTILE_ROWS, quantiles
-from tracklab.operators.small import checked_broadcast, half_even, small_rows
+from tracklab.operators.small import checked_broadcast, half_even, literal_table, small_rows
+from tracklab.sources.staging import stage
 from tracklab.sources.tables import taxonomy
 
 
@@ -124,9 +125,19 @@ def unmapped_labels(df: DataFrame, column: str = S.TARGET) -> DataFrame:
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """(label, code): 0..k-1 in alphabetical order of the labels as strings."""
+    """(label, code): 0..k-1 in alphabetical order of the labels as strings.
+
+    The labels are sorted by ranges and staged; a label's code is its place in its range after
+    the labels of the ranges before, so no task sees them all.
+    """
     labels = df.select(F.col(column).cast("string").alias("label")).filter("label is not null").distinct()
-    return labels.withColumn("code", F.row_number().over(W.orderBy("label")) - 1)
+    placed = stage(labels.repartitionByRange("label").sortWithinPartitions("label").withColumn("_at", F.monotonically_increasing_id()), "label-codes")
+    part = F.shiftright("_at", 33)
+    sizes = sorted((r["part"], r["count"]) for r in placed.groupBy(part.alias("part")).count().collect())
+    before = list(accumulate((n for _, n in sizes), initial=0))
+    starts = literal_table(df.sparkSession, [(p, n) for (p, _), n in zip(sizes, before)], "_part long, _before long")
+    place = F.col("_before") + F.col("_at") - F.shiftleft("_part", 33)
+    return placed.withColumn("_part", part).join(F.broadcast(starts), "_part").select("label", place.cast("int").alias("code"))
 
 
 def encode_labels(df: DataFrame, column: str, out: str = "code", codes: DataFrame | None = None) -> DataFrame:

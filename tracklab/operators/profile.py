@@ -221,12 +221,19 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40, by: Sequenc
     )
 
 
+# Cells of a bandwidth in which values are gathered, and the bandwidths after which a kernel ends (below 1e-17 of its peak).
+KERNEL_CELLS, KERNEL_REACH = 1024, 9
+
+
 def kernel_density(df: DataFrame, columns: Sequence[str], points: int = 200) -> DataFrame:
     """(feature, i, x, density): Gaussian kernel on an even grid, Scott bandwidth.
 
-    Equal values are counted first; each distinct value then adds its kernel to the
-    fixed grid and grid sums are combined before the shuffle.  Constant columns have
-    no density and are left out.
+    Values are gathered in cells of a ``KERNEL_CELLS``th of the bandwidth, each with the count and the
+    first three moments of the distances to its middle in bandwidths.  A cell adds the kernel's
+    expansion to the grid points within its reach, so the work is bounded by the number of
+    cells, whatever the number of rows or distinct values.  What the expansion leaves out is below
+    (1 / 2048) ** 4 / 24 * 1.2 < 3e-15 of a value's weight per bandwidth.  Constant columns have no
+    density and are left out.
     """
     rows = melt(df, columns).filter(F.col("value").isNotNull())
     stats = rows.groupBy("feature").agg(
@@ -238,16 +245,25 @@ def kernel_density(df: DataFrame, columns: Sequence[str], points: int = 200) ->
         (F.col("_std") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias("_h"),
     )
     stats = checked_broadcast(stats)
-    weights = rows.groupBy("feature", "value").agg(F.count("*").alias("_c"))
-    u = (F.col("x") - F.col("value")) / F.col("_h")
+    width = F.col("_h") / KERNEL_CELLS
+    placed = rows.join(stats, "feature").withColumn("_cell", F.floor((F.col("value") - F.col("_min")) / width))
+    middle = F.col("_min") + (F.col("_cell") + 0.5) * width
+    t = (F.col("value") - middle) / F.col("_h")
+    cells = placed.groupBy("feature", "_cell").agg(
+        F.count("*").alias("_c"), F.sum(t).alias("_s1"), F.sum(t * t).alias("_s2"), F.sum(t * t * t).alias("_s3")).join(stats, "feature")
+    reach = KERNEL_REACH * F.col("_h")
+    low = F.greatest(F.ceil((middle - reach - F.col("_min")) / F.col("_step")), F.lit(0))
+    high = F.least(F.floor((middle + reach - F.col("_min")) / F.col("_step")), F.lit(points - 1))
+    near = cells.withColumns({"_low": low.cast("int"), "_high": high.cast("int")}).filter("_low <= _high").withColumn(
+        "i", F.explode(F.sequence("_low", "_high")))
+    x = F.col("_min") + F.col("i") * F.col("_step")
+    u = (x - middle) / F.col("_h")
+    kernel = F.exp(u * u * -0.5) * (F.col("_c") + u * F.col("_s1") + (u * u - 1) / 2 * F.col("_s2") + (u * u * u - u * 3) / 6 * F.col("_s3"))
+    sums = near.select("feature", "i", kernel.alias("_k"))
+    grid = stats.select("feature", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"), F.lit(0.0).alias("_k"))
     return (
-        weights.join(stats, "feature")
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", F.col("_min") + F.col("i") * F.col("_step"))
-        .groupBy("feature", "i", "x", "_n", "_h")
-        .agg(F.sum(F.col("_c") * F.exp(u * u * -0.5)).alias("_k"))
-        .select("feature", "i", "x",
-                (F.col("_k") / (F.col("_n") * F.col("_h") * F.sqrt(2 * F.pi()))).alias("density"))
+        sums.unionByName(grid).groupBy("feature", "i").agg(F.sum("_k").alias("_k")).join(stats, "feature")
+        .select("feature", "i", x.alias("x"), (F.col("_k") / (F.col("_n") * F.col("_h") * F.sqrt(2 * F.pi()))).alias("density"))
     )
 
 
