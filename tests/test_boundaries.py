@@ -218,8 +218,9 @@ def test_sample_and_folds(spark):
         assert len(sizes) == 3 and max(sizes) - min(sizes) <= 1
 
 
-def test_cuts_agree_with_a_full_sort(spark, monkeypatch):
-    monkeypatch.setattr(X, "ROWS_PER_RANGE", 1)
+@pytest.mark.parametrize("digits", [1, 2, 5])
+def test_cuts_agree_with_a_full_sort(spark, monkeypatch, digits):
+    monkeypatch.setattr(X, "RANGE_DIGITS", digits)
     df = literal_table(spark, [(str(i), "ab"[i % 7 == 0]) for i in range(500)], "id string, g string")
     got = {r["id"] for r in X.stratified_sample(df, "g", ["id"], 100).collect()}
     keyed = df.withColumn("k", X.hash_key(["id"])).collect()

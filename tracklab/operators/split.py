@@ -17,10 +17,10 @@ from pyspark.sql.window import Window as W
 
 from tracklab import schema as S
 from tracklab.operators.small import checked_broadcast, literal_table, small_rows
+from tracklab.sources.staging import stage
 
-# Rows of one class to be sorted in one task around a cut, and the finest hash ranges used.
-ROWS_PER_RANGE = 5_000
-MAX_DIGITS = 5
+# Leading digits of a key that make its range: a class has at most 16 ** 5 ranges, and only those at a cut are sorted.
+RANGE_DIGITS = 5
 BELOW_ALL, ABOVE_ALL = "", "g"  # md5 digits end at 'f'
 
 
@@ -50,40 +50,22 @@ def split_quotas(counts: dict[str, int], test_ratio: float = S.TEST_RATIO,
     return {c: (test[c], val[c]) for c in counts}
 
 
-def class_counts(df: DataFrame, label: str) -> dict[str, int]:
-    """Rows per class; null labels are not a class."""
-    rows = small_rows(df.filter(F.col(label).isNotNull()).groupBy(label).count())
-    return {r[0]: r[1] for r in rows}
-
-
-def _cut_keys(df: DataFrame, label: str, key: Column, cuts: dict[str, list[int]],
-              counts: dict[str, int]) -> dict[str, list[str]]:
+def _cut_keys(keyed: DataFrame, ranges: DataFrame, cuts: dict[str, list[int]], counts: dict[str, int]) -> dict[str, list[str]]:
     """The hash key at each cut rank (1-based, inclusive) of each class."""
-    spark = df.sparkSession
-    ranges_wanted = max(max(counts.values()) / ROWS_PER_RANGE, 1)
-    digits = min(max(1, math.ceil(math.log(ranges_wanted, 16))), MAX_DIGITS)
-    keyed = df.filter(F.col(label).isNotNull()).select(
-        F.col(label).alias("_label"), key.alias("_key")
-    ).withColumn("_range", F.substring("_key", 1, digits))
-    inner = sorted({
-        (c, r) for c, ranks in cuts.items() for r in ranks if 0 < r < counts[c]
-    })
+    inner = sorted({(c, r) for c, ranks in cuts.items() for r in ranks if 0 < r < counts[c]})
     keys: dict[tuple[str, int], str] = {}
     if inner:
-        label_type = df.schema[label].dataType.simpleString()
-        ranks = F.broadcast(literal_table(spark, inner, f"_label {label_type}, _rank long"))
+        label_type = keyed.schema["_label"].dataType.simpleString()
+        ranks = F.broadcast(literal_table(keyed.sparkSession, inner, f"_label {label_type}, _rank long"))
         before = W.partitionBy("_label").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-        ranges = keyed.groupBy("_label", "_range").agg(F.count("*").alias("_c")).withColumn(
-            "_before", F.coalesce(F.sum("_c").over(before), F.lit(0))
-        )
         holding = checked_broadcast(
-            ranges.join(ranks, "_label")
+            ranges.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).join(ranks, "_label")
             .filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_c")))
             .select("_label", "_range", "_rank", "_before")
         )
         in_range = W.partitionBy("_label", "_range", "_rank").orderBy("_key")
         around = (
-            keyed.join(holding, ["_label", "_range"])
+            keyed.withColumn("_range", _range_of_key()).join(holding, ["_label", "_range"])
             .withColumn("_pos", F.row_number().over(in_range) + F.col("_before"))
             .withColumn("_next", F.lead("_key").over(in_range))
             .filter(F.col("_pos") == F.col("_rank"))
@@ -99,16 +81,23 @@ def _cut_keys(df: DataFrame, label: str, key: Column, cuts: dict[str, list[int]]
     return {c: [at(c, r) for r in ranks] for c, ranks in cuts.items()}
 
 
+def _range_of_key() -> Column:
+    return F.substring("_key", 1, RANGE_DIGITS)
+
+
 def assign_by_cuts(df: DataFrame, label: str, id_columns: Sequence[str],
                    cuts_of: Callable[[dict[str, int]], dict[str, list[int]]],
                    out: str, seed: int = S.SEED) -> DataFrame:
     """Number of cuts strictly before each row in its class's hash order, as column ``out``.
 
-    Rows with a null label get null.
+    Rows with a null label get null.  The table is read twice: once for a staged table of labels
+    and keys, from which ranges, class sizes and cuts come, and once to be assigned.
     """
-    counts = class_counts(df, label)
     key = hash_key(id_columns, seed)
-    cut_keys = _cut_keys(df, label, key, cuts_of(counts), counts)
+    keyed = stage(df.filter(F.col(label).isNotNull()).select(F.col(label).alias("_label"), key.alias("_key")), "split-keys")
+    ranges = stage(keyed.groupBy("_label", _range_of_key().alias("_range")).agg(F.count("*").alias("_c")), "split-ranges")
+    counts = {r[0]: r[1] for r in small_rows(ranges.groupBy("_label").agg(F.sum("_c")))}
+    cut_keys = _cut_keys(keyed, ranges, cuts_of(counts), counts)
     label_type = df.schema[label].dataType.simpleString()
     table = F.broadcast(literal_table(
         df.sparkSession, cut_keys.items(), f"{label} {label_type}, _cuts array<string>"
