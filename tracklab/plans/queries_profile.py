@@ -383,3 +383,16 @@ def melted_line_items(spark, sf):
     rows = melt(table(spark, sf, "lineitem"), ["l_quantity", "l_discount"], keep=["l_returnflag"])
     return rows.groupBy("l_returnflag").agg(
         F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+
+
+@query(on_tracks("SELECT track_id, " + ", ".join(
+    f"CAST({'CAST(explicit AS INT)' if c == 'explicit' else c} AS DOUBLE) AS {c}" for c in S.FEATURES) + " FROM tracks"))
+def double_features(spark, sf):
+    """All model inputs as doubles."""
+    return C.features_as_double(tracks(spark, sf), keep=["track_id"])
+
+
+@query(on_tracks("SELECT track_id, track_name, popularity FROM tracks ORDER BY track_id LIMIT 500"))
+def capped_rows(spark, sf):
+    """The first 500 rows in order of the id: the optional cap is the feature."""
+    return C.handle_row_cap(tracks(spark, sf), "track_id", rows=500).select("track_id", "track_name", "popularity")

@@ -339,3 +339,34 @@ def reload_equality(spark, sf):
             for i, p in enumerate((first, PipelineModel.load(path))))
     same = F.col("p0").eqNullSafe(F.col("p1")) & F.col("q0").eqNullSafe(F.col("q1"))
     return a.join(b, "track_id").agg(F.count("*").alias("rows_scored"), F.count_if(~same).alias("differing"))
+
+
+@query("SELECT count(*) AS rows_compared, CAST(0 AS BIGINT) AS differing FROM lineitem")
+def preprocessor_reload(spark, sf):
+    """A saved and reloaded preprocessor gives the features of the one in memory."""
+    first = _prepared(spark, sf).preprocessor
+    path = scratch_dir(spark, "preprocessor")
+    first.write().save(path)
+    a, b = (infer.preprocess(tracks(spark, sf), p, keep=IDS).select("track_id", vector_to_array("features").alias(f"x{i}"))
+            for i, p in enumerate((first, PipelineModel.load(path))))
+    return a.join(b, "track_id").agg(F.count("*").alias("rows_compared"), F.count_if(~F.col("x0").eqNullSafe(F.col("x1"))).alias("differing"))
+
+
+@query(f"SELECT CAST(pos AS INT) AS code, cls AS label FROM ({values((c, i) for i, c in enumerate(S.CLASSES))}) AS t(cls, pos)")
+def decoder_reload(spark, sf):
+    """The class list of a saved and reloaded scoring pipeline, in decode order."""
+    path = scratch_dir(spark, "decoder")
+    _fixed_pipeline(spark, sf).write().save(path)
+    return literal_table(spark, list(enumerate(infer.classes_of(PipelineModel.load(path)))), "code int, label string")
+
+
+@query("SELECT section, CAST(n AS BIGINT) AS n, CAST(selected AS BIGINT) AS selected FROM "
+       "(VALUES ('improvement', 3, 0), ('parameter', 1, 0), ('ranking', 30, 1)) AS t(section, n, selected)")
+def selection_report_shape(spark, sf):
+    """Rows per section of the selection report: five metrics of six models, one of them selected."""
+    compared = _comparison(spark, sf)
+    first = compared.first()
+    report = training.selection_report(spark, compared, first["model"], tuning.GRID_FIXED["Random Forest"], first["mean_f1_weighted"],
+                                       first["mean_f1_weighted"])
+    chosen = (F.col("metric") == "selected") & (F.col("value") == "true")
+    return report.groupBy("section").agg(F.count("*").alias("n"), F.count_if(chosen).alias("selected"))
