@@ -24,6 +24,18 @@ def scored_rows(rows: DataFrame, pipeline: PipelineModel, target: str) -> DataFr
         F.col(target).alias("y_true"), F.col("predicted_genre").alias("y_pred"), *p), "scored-rows")
 
 
+def _probabilities(pipeline: PipelineModel) -> dict[str, str]:
+    return {c: f"p_{i}" for i, c in enumerate(classes_of(pipeline))}
+
+
+def metrics(scored: DataFrame, pipeline: PipelineModel) -> DataFrame:
+    """The one-row evaluation summary of scored rows; no area without probabilities."""
+    matrix = E.confusion(scored)
+    if "p_0" not in scored.columns:
+        return E.metric_row(matrix).withColumn("macro_auc", F.lit(None).cast("double"))
+    return E.metrics_with_auc(matrix, E.auc_per_class(scored, _probabilities(pipeline)), classes_of(pipeline))
+
+
 def evaluate(rows: DataFrame, pipeline: PipelineModel, target: str, out: str | None = None) -> dict[str, DataFrame]:
     """All evaluation tables; without probabilities the score-based ones are left out."""
     classes = classes_of(pipeline)
@@ -37,7 +49,7 @@ def evaluate(rows: DataFrame, pipeline: PipelineModel, target: str, out: str | N
         "metrics": E.metric_row(matrix).withColumn("macro_auc", F.lit(None).cast("double")),
     }
     if "p_0" in scored.columns:
-        probabilities = {c: f"p_{i}" for i, c in enumerate(classes)}
+        probabilities = _probabilities(pipeline)
         aucs = E.auc_per_class(scored, probabilities)
         tables |= {
             "auc": aucs,
