@@ -1,6 +1,9 @@
 """What queries write, shuffle and hold: bounds that larger tables need."""
 
-from tracklab.operators import split
+import numpy as np
+
+from tracklab.operators import forest, split
+from tracklab.operators.forest import Forest, Growth, grown
 from tracklab.plans import queries_train, training
 from tracklab.plans.catalogue import QUERIES
 
@@ -33,3 +36,20 @@ def test_preparing_writes_the_narrow_rows_once(spark, sf, monkeypatch, tmp_path)
     assert set(spark.read.parquet(str(tmp_path / "prepared/rows")).columns) == {"track_id", "signal_genre", *training.S.FEATURES}
     assert prepared.rows.columns == ["track_id", "signal_genre", "split", "label", "features"]
     assert prepared.rows.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+
+
+def test_scoring_invariants_join_nothing(spark, sf):
+    assert plan(QUERIES["scoring_invariants"](spark, sf)).count("Relation [l_orderkey") == 1
+
+
+def test_forest_of_millions_of_rows_grows_from_packed_blocks():
+    assert Forest().getOrDefault("oneTableRows") >= 6 * 600_000 * 0.85
+
+
+def test_trees_do_not_depend_on_the_rows_of_a_step(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins, label = rng.integers(0, 8, (900, 5)).astype(np.uint8), rng.integers(0, 3, 900)
+    g = Growth(3, 8, 6, 1, 2, 3, 5)
+    whole = grown(bins, label, [list(map(float, range(7)))] * 5, g, 1).packed()
+    monkeypatch.setattr(forest, "PIECE", 7)
+    assert grown(bins, label, [list(map(float, range(7)))] * 5, g, 1).packed() == whole
