@@ -1,6 +1,7 @@
 """What queries write, shuffle and hold: bounds that larger tables need."""
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
 
 from tracklab.operators import forest, split
 from tracklab.operators.forest import Forest, Growth, grown
@@ -53,3 +54,33 @@ def test_trees_do_not_depend_on_the_rows_of_a_step(monkeypatch):
     whole = grown(bins, label, [list(map(float, range(7)))] * 5, g, 1).packed()
     monkeypatch.setattr(forest, "PIECE", 7)
     assert grown(bins, label, [list(map(float, range(7)))] * 5, g, 1).packed() == whole
+
+
+def test_nodes_counted_alone_and_together_split_alike(monkeypatch):
+    rng = np.random.default_rng(4)
+    bins, label = rng.integers(0, 8, (3000, 5)).astype(np.uint8), rng.integers(0, 3, 3000)
+    edges, g = [list(map(float, range(7)))] * 5, Growth(3, 8, 9, 2, 4, 3, 5)
+    trees = []
+    for large in (1, 100, 10_000):
+        monkeypatch.setattr(forest, "LARGE", large)
+        trees.append(grown(bins, label, edges, g, 2).packed())
+    assert len(set(trees)) == 1
+    tree = forest.Tree.unpacked(trees[0], 3)
+    inner = tree.feature >= 0
+    assert np.array_equal(tree.counts[inner], tree.counts[tree.left[inner]] + tree.counts[tree.right[inner]])
+
+
+def test_rows_are_binned_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(forest, "EXACT_EDGES", 10)
+    rows = spark.range(400).selectExpr("cast(id % 3 as double) as label", "array(double(id % 7), double(id)) as x").select(
+        "label", array_to_vector("x").alias("features"))
+    seen, sort = [], type(rows).orderBy
+    monkeypatch.setattr(type(rows), "orderBy", lambda self, *a, **b: seen.append(a) or sort(self, *a, **b))
+    dealt = [Forest(numTrees=3).fit(rows.repartition(n)).trees for n in (1, 5)]
+    assert seen == []
+    assert [t.packed() for t in dealt[0]] == [t.packed() for t in dealt[1]]
+
+
+def test_vectors_are_unpacked_once_per_row(spark, sf):
+    for name in ("scaled_inputs", "fixed_tree_proba"):
+        assert plan(QUERIES[name](spark, sf)).count("UDF(") <= 4
