@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 
-from tracklab.operators import forest, split
+from tracklab.operators import forest, metrics, ordered, split
 from tracklab.operators.forest import Forest, Growth, grown
 from tracklab.plans import queries_train, training
 from tracklab.plans.catalogue import QUERIES
@@ -84,3 +84,30 @@ def test_rows_are_binned_without_a_shuffle(spark, monkeypatch):
 def test_vectors_are_unpacked_once_per_row(spark, sf):
     for name in ("scaled_inputs", "fixed_tree_proba"):
         assert plan(QUERIES[name](spark, sf)).count("UDF(") <= 4
+
+
+def test_scores_are_staged_without_a_table_of_all_scores(spark, sf, monkeypatch):
+    staged = []
+    monkeypatch.setattr(metrics, "stage", lambda df, purpose: staged.append(plan(df)) or df.localCheckpoint())
+    QUERIES["macro_auc"](spark, sf)
+    assert len(staged) == 1 and "Aggregate" not in staged[0]
+
+
+def test_running_totals_bring_ties_together_in_tasks_of_bounded_size(spark, monkeypatch):
+    rows = spark.range(5000).selectExpr("concat('k', id % 3) as k", "if(id % 4 = 0, 0D, double(id * 37 % 1009)) as x", "id % 5 as n").union(
+        spark.sql("select 'rare', 7D, 1L")).localCheckpoint()
+    whole = ordered.running_totals(rows, ["k"], "x", {"upto": "n"}, None, ["n"])
+    monkeypatch.setattr(ordered, "TASK_ROWS", 100)
+    monkeypatch.setattr(ordered, "SPLIT_ROWS", 900)
+    parts = ordered.running_totals(rows, ["k"], "x", {"upto": "n"}, 0, ["n"])
+    assert sorted(map(tuple, parts.select("k", "x", "n", "upto").collect())) == sorted(map(tuple, whole.select("k", "x", "n", "upto").collect()))
+    assert whole.count() == whole.select("k", "x").distinct().count()
+    assert "RepartitionByExpression" in plan(parts) and ", 51" in plan(parts)
+
+
+def test_rows_without_a_truth_count_for_no_class(spark):
+    rows = spark.sql("select * from values ('a', 0.9D), ('b', 0.9D), ('b', 0.2D), ('a', 0.1D), (null, 0.5D), (null, 0.95D) as t(y_true, p)")
+    known = rows.filter("y_true is not null")
+    for n in (None, 0):
+        got, want = (metrics.auc_per_class(r, {"a": "p"}, plain_rows=n).first()["auc"] for r in (rows, known))
+        assert got == want == 0.375

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -137,26 +139,32 @@ def class_scores(df: DataFrame, probabilities: dict[str, str], truth: str = "y_t
 
 
 def _score_counts(df, probabilities, truth):
-    """Positives and negatives per distinct score, staged: later passes sort only these."""
-    return stage(
-        class_scores(df, probabilities, truth).filter("score is not null")
-        .groupBy("class", "score")
-        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")),
-        "score-counts",
-    )
+    """Positives and negatives of scores, staged: later passes read only these.
+
+    Ties are counted batch by batch, without a shuffle or a table of scores in a task; those of different
+    batches are summed where the scores are sorted.
+    """
+    def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by(["class", "score"]).aggregate([("y", "sum"), ("y", "count")])
+            negative = pc.subtract(found["y_count"], found["y_sum"])
+            yield from pa.table([found["class"], found["score"], found["y_sum"], negative], ["class", "score", "pos", "neg"]).to_batches()
+
+    known = class_scores(df, probabilities, truth).filter("score is not null")
+    return stage(known.mapInArrow(tied, "class string, score double, pos long, neg long"), "score-counts")
 
 
 def roc_points(df: DataFrame, probabilities: dict[str, str], truth: str = "y_true",
                plain_rows: int | None = None) -> DataFrame:
     """(class, threshold, fpr, tpr) at every distinct score; threshold null at the origin."""
-    counts = _score_counts(df, probabilities, truth).withColumn("_down", -F.col("score"))
+    counts = _score_counts(df, probabilities, truth).select("class", (-F.col("score")).alias("_down"), "pos", "neg")
     totals = checked_broadcast(
         counts.groupBy("class").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     )
     points = (
-        running_totals(counts, ["class"], "_down", {"_tp": "pos", "_fp": "neg"}, plain_rows)
+        running_totals(counts, ["class"], "_down", {"_tp": "pos", "_fp": "neg"}, plain_rows, ["pos", "neg"])
         .join(totals, "class")
-        .select("class", F.col("score").alias("threshold"),
+        .select("class", (F.lit(0.0) - F.col("_down")).alias("threshold"),
                 div(F.col("_fp"), F.col("_n")).alias("fpr"), div(F.col("_tp"), F.col("_p")).alias("tpr"))
     )
     origin = totals.select("class", F.lit(None).cast("double").alias("threshold"),
@@ -168,7 +176,7 @@ def auc_per_class(df: DataFrame, probabilities: dict[str, str], truth: str = "y_
                   plain_rows: int | None = None) -> DataFrame:
     """(class, auc): the share of (positive, negative) pairs ranked right, ties half."""
     counts = _score_counts(df, probabilities, truth)
-    ranked = running_totals(counts, ["class"], "score", {"_upto": "neg"}, plain_rows)
+    ranked = running_totals(counts, ["class"], "score", {"_upto": "neg"}, plain_rows, ["pos", "neg"])
     below = F.col("_upto") - F.col("neg") / 2
     sums = ranked.groupBy("class").agg(
         F.sum(F.col("pos") * below).alias("_wins"),
