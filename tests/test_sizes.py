@@ -3,8 +3,9 @@
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 
-from tracklab.operators import forest, metrics, ordered, split
+from tracklab.operators import forest, learning, metrics, ordered, split
 from tracklab.operators.forest import Forest, Growth, grown
+from tracklab.operators.small import literal_table
 from tracklab.plans import queries_train, training
 from tracklab.plans.catalogue import QUERIES
 
@@ -111,3 +112,36 @@ def test_rows_without_a_truth_count_for_no_class(spark):
     for n in (None, 0):
         got, want = (metrics.auc_per_class(r, {"a": "p"}, plain_rows=n).first()["auc"] for r in (rows, known))
         assert got == want == 0.375
+
+
+def leaf_of(tree, row):
+    node = 0
+    while tree.feature[node] >= 0:
+        node = tree.left[node] if row[tree.feature[node]] <= tree.threshold[node] else tree.right[node]
+    return node
+
+
+def test_scorer_walks_as_the_trees_say_and_is_small():
+    rng = np.random.default_rng(6)
+    bins, label = rng.integers(0, 8, (4000, 5)).astype(np.uint8), rng.integers(0, 3, 4000)
+    g = Growth(3, 8, 12, 1, 2, 3, 5)
+    trees = [grown(bins, label, [list(map(float, range(7)))] * 5, g, k) for k in range(5)]
+    other = trees[0]._replace(left=trees[0].right, right=trees[0].left)  # children in any order
+    x = rng.uniform(-1, 8, (300, 5))
+    x[::7, 2], x[::5] = np.nan, np.round(x[::5])
+    for some in (trees, [other], [trees[0]._replace(feature=np.array([-1]), threshold=np.array([np.inf]), left=np.array([0]), right=np.array([0]), counts=np.array([[1.0, 3, 0]]))]):
+        want = np.mean([[t.counts[n] / t.counts[n].sum() for n in (leaf_of(t, r) for r in x)] for t in some], axis=0)
+        assert np.allclose(forest.Scorer(some).chances(x), want, rtol=0, atol=1e-12)
+    scorer = forest.Scorer(trees)
+    held = scorer.share.nbytes + scorer.walker["nodes"].nbytes
+    assert held <= 12 * sum(len(t.feature) for t in trees)
+
+
+def test_sketched_edges_are_near_the_exact_ones(spark, monkeypatch):
+    x = np.random.default_rng(2).normal(size=(6000, 2))
+    table = literal_table(spark, [(r,) for r in x.tolist()], "x array<double>").repartition(3)
+    monkeypatch.setattr(learning, "SKETCH_POINTS", 200)
+    monkeypatch.setattr(learning, "SKETCH_ROWS", 700)
+    rank = [np.sort(x[:, i]).searchsorted(e) for i, e in enumerate(learning.bin_edges(table, 2, 32))]
+    for r in rank:
+        assert len(r) == 31 and abs(r - 6000 * np.arange(1, 32) / 32).max() <= 6000 / 200 + 1
