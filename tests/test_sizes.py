@@ -137,6 +137,11 @@ def test_scorer_walks_as_the_trees_say_and_is_small():
     assert held <= 12 * sum(len(t.feature) for t in trees)
 
 
+def test_a_row_is_scored_once_for_its_playlists(spark, sf):
+    plan = QUERIES["fixed_tree_recommendations"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython ") == 1
+
+
 def test_sketched_edges_are_near_the_exact_ones(spark, monkeypatch):
     x = np.random.default_rng(2).normal(size=(6000, 2))
     table = literal_table(spark, [(r,) for r in x.tolist()], "x array<double>").repartition(3)

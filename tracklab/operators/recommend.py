@@ -25,9 +25,19 @@ def taglines(spark: SparkSession) -> DataFrame:
 
 
 def recommend_playlists(df: DataFrame, genre: str) -> DataFrame:
-    """One row per input row and playlist of its class; no rows for unknown classes."""
-    p = playlists(df.sparkSession).withColumnRenamed("genre", "_genre")
-    return df.join(F.broadcast(p), F.col(genre) == F.col("_genre")).drop("_genre")
+    """One row per input row and playlist of its class; no rows for unknown classes.
+
+    Looked up, not joined: a join would test ``genre`` for nulls below it and so score every row twice.
+    """
+    fields = ("name", "desc", "query")
+    found = [F.lit(g) if i == 0 else F.array(*[
+        F.struct(F.lit(pos).alias("pos"), *[F.lit(v).alias(f) for f, v in zip(fields, p)], search_url(F.lit(p[2])).alias("url"))
+        for pos, p in enumerate(ps, 1)]) for g, ps in S.PLAYLISTS.items() for i in range(2)]
+    place = "_playlist"
+    while place in df.columns:
+        place += "_"
+    listed = df.select("*", F.explode_outer(F.try_element_at(F.create_map(*found), F.col(genre))).alias(place))
+    return listed.filter(F.col(place).isNotNull()).select(*df.columns, f"{place}.*")
 
 
 def with_tagline(df: DataFrame, genre: str) -> DataFrame:
