@@ -150,3 +150,12 @@ def test_sketched_edges_are_near_the_exact_ones(spark, monkeypatch):
     rank = [np.sort(x[:, i]).searchsorted(e) for i, e in enumerate(learning.bin_edges(table, 2, 32))]
     for r in rank:
         assert len(r) == 31 and abs(r - 6000 * np.arange(1, 32) / 32).max() <= 6000 / 200 + 1
+
+
+def test_brackets_of_whole_columns_are_not_joined(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("if(id % 10 = 0, null, double(id * 7919 % 3001)) as a", "int(id % 2) as b", "cast(null as double) as c")
+    monkeypatch.setattr(ordered, "range_of", None)
+    got = {(r["feature"], r["prob"]): r["value"] for r in ordered.quantiles(rows, ["a", "b", "c"], [0.25, 0.5], percentile_rows=0).collect()}
+    a = [r["a"] for r in rows.collect() if r["a"] is not None]
+    assert set(got) == {(c, p) for c in "ab" for p in (0.25, 0.5)}
+    assert [got["a", p] for p in (0.25, 0.5)] == [float(np.quantile(a, p)) for p in (0.25, 0.5)] and got["b", 0.5] == 0.5
