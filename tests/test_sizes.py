@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 
-from tracklab.operators import forest, learning, metrics, ordered, split
+from tracklab.operators import forest, knn, learning, metrics, ordered, split
 from tracklab.operators.forest import Forest, Growth, grown
 from tracklab.operators.small import literal_table
 from tracklab.plans import queries_train, training
@@ -159,3 +159,14 @@ def test_brackets_of_whole_columns_are_not_joined(spark, monkeypatch):
     a = [r["a"] for r in rows.collect() if r["a"] is not None]
     assert set(got) == {(c, p) for c in "ab" for p in (0.25, 0.5)}
     assert [got["a", p] for p in (0.25, 0.5)] == [float(np.quantile(a, p)) for p in (0.25, 0.5)] and got["b", 0.5] == 0.5
+
+
+def test_rows_beyond_the_kth_distance_are_not_kept(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    points = literal_table(spark, [(i, p, 0) for i, p in enumerate(rng.normal(size=(900, 3)).tolist())], "id long, x array<double>, label int")
+    met, meet = [], knn._meet
+    monkeypatch.setattr(knn, "_meet", lambda asked, *a: met.append((asked, meet(asked, *a).localCheckpoint())) or met[-1][1])
+    best = knn.neighbours(points.select("id", "x"), points, 3, leave_one_out=True, block_rows=50)
+    assert best.groupBy("id").count().filter("count <> 3").count() == 0
+    visits, kept = met[1][0].count(), met[1][1].count()
+    assert visits > 0 and kept < 1.5 * visits
