@@ -77,6 +77,61 @@ def test_large_clusters_in_blocks(spark, frame, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == plain_join(rows, Join())
 
 
+def test_large_clusters_are_not_copied_to_all_blocks(spark, frame, monkeypatch):
+    """Sets of a large cluster that are not similar are not sent to every block; the links stay those of all pairs."""
+    monkeypatch.setattr(partenum, "BLOCK", 16)
+    rng = random.Random(5)
+    rows = corpus(rng, 60, 4, (0, 0.002, 0.02)) + [(1000 + i, " ".join(WORDS[:90]) + f" x{i % 40}") for i in range(60)]
+    docs = frame(rows, "doc_id long, text string")
+    nodes = partenum._nodes(docs, "doc_id", "text", Join())
+    clusters = nodes.select("fp").distinct().selectExpr("fp AS node", "0L AS label")
+    sent, plain = [], partenum._compare
+
+    def counted(cells, join):
+        sent.append(cells.count())
+        return plain(cells, join)
+
+    monkeypatch.setattr(partenum, "_compare", counted)
+    links = partenum._links(docs, "doc_id", "text", nodes, clusters, Join())
+    fps = {r.doc_id: r.fp for r in nodes.collect()}
+    group = {r.node: r.label for r in partenum.components(links).collect()}
+    wanted, first = plain_join(rows, Join()), {}
+    for doc_id, _, least in wanted:
+        first.setdefault(group.get(fps[doc_id], fps[doc_id]), set()).add(least)
+    assert all(len(x) == 1 for x in first.values()) and len(first) == len({least for *_, least in wanted})
+    assert sum(sent) < 5 * len(rows)
+
+
+def test_parities_say_at_most_the_difference():
+    rng = np.random.default_rng(1)
+    for join in (Join(), NEAR, Join(similar=30)):
+        sets = [np.unique(rng.integers(0, 1 << 63, int(n), dtype=np.uint64)) for n in rng.integers(1, 3000, 12)]
+        sets += [np.unique(np.r_[s[int(len(s) * cut):], rng.integers(0, 1 << 63, int(len(s) * cut), dtype=np.uint64)]) for s in sets for cut in (0, 0.05, 0.1, 0.4)]
+        by = {}
+        for k, s in enumerate(sets):
+            for width, own, bits in partenum.parities(s, join):
+                by.setdefault(width, []).append((k, len(s), own, bits))
+        joined = set()
+        for held in by.values():
+            k, n, own, bits = (np.array(x) for x in zip(*held))
+            side = n, own, bits
+            names = np.r_[k, k]
+            pairs = [(int(names[a]), int(names[b])) for a, b in partenum.connected(side, side, join)]
+            assert len(pairs) < 2 * len(held)
+            joined |= set(pairs)
+        root = {}
+        for a, b in joined:
+            ga, gb = root.setdefault(a, {a}), root.setdefault(b, {b})
+            ga |= gb
+            for x in gb:
+                root[x] = ga
+        for a, x in enumerate(sets):
+            for b, y in enumerate(sets[:a]):
+                inter = len(np.intersect1d(x, y))
+                if join.of * inter >= join.similar * (len(x) + len(y) - inter):
+                    assert b in root[a]
+
+
 @pytest.mark.parametrize("common", [0, 200, 100_000])
 def test_similar_sets_share_a_signature(common):
     rng = np.random.default_rng(3)

@@ -9,8 +9,10 @@ signatures are its projections on all these subsets, so similar sets share signa
 partitions than the slack.
 
 Equal sets are one node from the start.  Nodes that share a signature are joined to clusters
-(an edge to the group's first node, never all pairs), and inside a cluster the sets are
-compared exactly, block against block, so that no task holds more than two blocks.
+(an edge to the group's first node, never all pairs).  Clusters of more than one block are cut
+by the parities of their sets, a bit per element at most two: sets whose parities differ in more places than
+similar sets have different elements are not linked, and what stays connected is a smaller cluster.
+Inside a cluster the sets are compared exactly, block against block, so that no task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -54,6 +56,12 @@ NEAR = Join(words=5, similar=80, parts=1, left_out=0, slack=3, slack_share=0.15)
 SAMPLE_SETS, SAMPLE_SHINGLES, COMMON_IN, COMMON_MOST = 4_000, 20_000, 3, 1_000_000
 # Nodes of a block; clusters of at most one block are compared whole.
 BLOCK = 512
+# Sets whose parities are compared in one task, rows and places of a step there, and the fewest places.
+PARITY_BLOCK, STRIP, PLACES, LEAST_WIDTH = 4_096, 512, 2_048, 64
+# Sets of a large cluster that all its blocks are compared with, about.
+HUBS = 64
+# Rows of texts or sets that Python gets at a time.
+TEXT_ROWS = 1_000
 # Sets that a task remembers so as to give the signatures of copies once.
 REMEMBERED = 200_000
 
@@ -166,7 +174,7 @@ def _nodes(docs: DataFrame, doc_id: str, text: str, join: Join) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(fp, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "fp", "n"])
 
-    return stage(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema), "join-nodes")
+    return stage(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema), "join-nodes", TEXT_ROWS)
 
 
 def _common(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, join: Join) -> np.ndarray:
@@ -234,7 +242,7 @@ def _meetings(docs: DataFrame, text: str, join: Join, common: np.ndarray) -> Dat
 
     signed = docs.select(F.col(text).alias("text")).mapInArrow(sign, "sig long, fp long")
     grouped = signed.repartition("sig").sortWithinPartitions("sig", "fp")
-    return stage(grouped.mapInArrow(meet, "a long, b long").distinct(), "join-meetings")
+    return stage(grouped.mapInArrow(meet, "a long, b long").distinct(), "join-meetings", 4 * TEXT_ROWS)
 
 
 def _batch(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
@@ -317,6 +325,8 @@ def _compare(cells: DataFrame, join: Join) -> DataFrame:
                 yield from zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3))
 
         for _, members in groupby(rows(), key=lambda r: r[0]):
+            # Rows of one set, from repeated ids, follow each other.
+            members = [next(same) for _, same in groupby(members, key=lambda r: r[1:3])]
             members = [(side, fp, np.frombuffer(e.as_py(), U)) for _, side, fp, e in members]
             if len(members) < 2:
                 continue
@@ -329,24 +339,133 @@ def _compare(cells: DataFrame, join: Join) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long")
 
 
+def _full() -> float:
+    """Nodes that a block of a large group has on average."""
+    return BLOCK * 0.75
+
+
 def _block(fp, n):
     """Number of a node's block in a group of ``n`` nodes."""
-    return F.pmod(F.xxhash64(fp), F.greatest(F.ceil(n / (BLOCK * 0.75)), F.lit(1)))
+    return F.pmod(F.xxhash64(fp), F.greatest(F.ceil(n / _full()), F.lit(1)))
+
+
+def parity(elements: np.ndarray, width: int) -> np.ndarray:
+    """Parity of the elements dealt to each of ``width`` places (a power of two), eight to a byte.
+
+    Sets whose parities differ in d places differ in d elements at least.  Halves of the bytes, one
+    flipped by the other, are the parity of half the width.
+    """
+    place = (mixed(elements + U(0xA0761D6478BD642F)) & U(width - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=width) & 1).astype(np.uint8))
+
+
+def parities(elements: np.ndarray, join: Join) -> Iterator[tuple[int, bool, np.ndarray]]:
+    """(width, own, parity): by the power of two not below the size, and by its halves if sets that small may be similar."""
+    n = len(elements)
+    width = max(LEAST_WIDTH, 1 << (n - 1).bit_length())
+    bits = parity(elements, width)
+    yield width, True, bits
+    while width > LEAST_WIDTH and join.similar * n <= join.of * (width // 2):
+        width, bits = width // 2, bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+        yield width, False, bits
+
+
+def _signs(bits: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    return np.unpackbits(bits[:, lo // 8:hi // 8], axis=1).astype(np.float32) * 2 - 1
+
+
+def connected(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], join: Join) -> Iterator[tuple[int, int]]:
+    """Pairs of a set of ``left`` and one of ``right`` that may be similar, fewer where others connect them.
+
+    Sides are (n, own, parities); of two that are not in their own width nothing is said.  Pairs number the
+    sets of both sides through, and at most as many are given as there are sets.
+    """
+    (n_left, own_left, bits_left), (n, own, bits) = left, right
+    m, width = len(n_left), 8 * bits.shape[1]
+    group = np.arange(m + len(n))
+    whole = _signs(bits, 0, width) if width <= PLACES else None
+    for start in range(0, m, STRIP):
+        some = slice(start, start + STRIP)
+        product = np.zeros((len(n_left[some]), len(n)), np.float32)
+        for lo in range(0, width, PLACES):
+            hi = min(lo + PLACES, width)
+            product += _signs(bits_left[some], lo, hi) @ (whole if whole is not None else _signs(bits, lo, hi)).T
+        differ = (width - product.astype(np.int64)) // 2
+        a, b = n_left[some][:, None], n[None, :]
+        near = (differ * (join.of + join.similar) <= (a + b) * (join.of - join.similar)) & (own_left[some][:, None] | own[None, :])
+        near &= join.similar * np.maximum(a, b) <= join.of * np.minimum(a, b)
+        for i in np.flatnonzero(near.any(axis=1)):
+            mine = start + int(i)
+            others = m + np.flatnonzero(near[i])
+            known, first = np.unique(group[others], return_index=True)
+            fresh = known != group[mine]
+            if fresh.any():
+                yield from ((mine, int(others[j])) for j in first[fresh])
+                group[np.isin(group, known)] = group[mine]
+
+
+def _refined(sets: DataFrame, join: Join) -> DataFrame:
+    """(node, label): ``sets`` of large clusters in smaller ones, within which all similar pairs are; lone sets are left out.
+
+    Sets are compared with those of their cluster and of a similar size only, by parities: an eighth of a byte or a
+    quarter per element goes to as many tasks as the sets of a cluster and width have blocks.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(fp, label, len(e), *p) for fp, label, e in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), (np.frombuffer(x.as_py(), U) for x in batch.column(2)))
+                for p in parities(e, join)]
+            if rows:
+                fp, label, n, width, own, bits = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(fp, pa.int64()), pa.array(label, pa.int64()), pa.array(n, pa.int64()), pa.array(width, pa.int64()), pa.array(own),
+                     pa.array([b.tobytes() for b in bits], pa.binary())], names=["fp", "label", "n", "width", "own", "bits"])
+
+    rows = stage(sets.select("fp", "label", "elements").mapInArrow(
+        run, "fp long, label long, n long, width long, own boolean, bits binary"), "join-parities", TEXT_ROWS)
+    sizes = rows.groupBy(F.col("label").alias("_l"), F.col("width").alias("_w")).agg(F.ceil(F.count(F.lit(1)) / PARITY_BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    cells = rows.join(sizes, (F.col("label") == F.col("_l")) & (F.col("width") == F.col("_w"))).withColumn("block", block).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = cells.select("label", "width", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "n", "own", "bits")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in batches:
+                yield from zip(*(batch.column(i).to_pylist() for i in range(9)))
+
+        for (_, _, i, j), members in groupby(rows(), key=lambda r: r[:4]):
+            members = list(members)
+            block, fp, n, own = (np.array([r[c] for r in members]) for c in range(4, 8))
+            bits = np.array([np.frombuffer(r[8], np.uint8) for r in members])
+            at, to = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            if len(at) and len(to):
+                found = list(connected((n[at], own[at], bits[at]), (n[to], own[to], bits[to]), join))
+                if found:
+                    both = np.array(found)
+                    names = np.concatenate([fp[at], fp[to]])
+                    yield _batch(["a", "b"], names[both[:, 0]], names[both[:, 1]])
+
+    key = ["label", "width", "i", "j"]
+    met = cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long").filter("a <> b")
+    return components(stage(met, "join-refined", TEXT_ROWS))
 
 
 def _links(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, clusters: DataFrame, join: Join) -> DataFrame:
     """Links within clusters: enough of them to connect all similar sets, and only between similar sets."""
     first = nodes.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("_d"))
-    sizes = clusters.groupBy(F.col("label").alias("_l")).agg(F.count(F.lit(1)).alias("size"))
-    members = clusters.join(first, F.col("node") == F.col("fp")).join(sizes, F.col("label") == F.col("_l"))
-    members = members.select("_d", "fp", "label", "size")
+    members = stage(_sized(clusters).join(first, F.col("node") == F.col("fp")).select("_d", "fp", "label", "size"), "join-members")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # rows of one id come to one task
         for batch in batches:
             keep, data = [], []
             for i, (fp, x) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3))):
+                if fp in seen:
+                    continue
                 elements = shingles(x.as_py(), join.words)
                 if len(elements) and fingerprint(elements) == fp:  # another row may have the same id
+                    seen.add(fp)
                     keep.append(i)
                     data.append(elements.tobytes())
             if keep:
@@ -354,15 +473,40 @@ def _links(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, clusters:
                 yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(data, pa.binary())], names=["fp", "label", "size", "elements"])
 
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).join(members, F.col("_id") == F.col("_d"))
-    sets = stage(texts.select("fp", "label", "size", "_t").mapInArrow(
-        run, "fp long, label long, size long, elements binary").dropDuplicates(["fp"]), "join-sets")
-    inner = sets.select(
+    sets = texts.select("fp", "label", "size", "_t").mapInArrow(run, "fp long, label long, size long, elements binary")
+    if members.filter(F.col("size") > _full()).isEmpty():
+        return stage(_compare(_inner(sets), join), "join-links", TEXT_ROWS)
+    sets = stage(sets, "join-sets", TEXT_ROWS)
+    large = sets.filter(F.col("size") > _full())
+    smaller = stage(_sized(_refined(large, join)), "join-smaller")
+    large = large.select("fp", "elements").join(smaller, F.col("fp") == F.col("node")).select("fp", "label", "size", "elements")
+    sets = sets.filter(F.col("size") <= _full()).unionByName(large)
+    if smaller.filter(F.col("size") > _full()).isEmpty():
+        return stage(_compare(_inner(sets), join), "join-links", TEXT_ROWS)
+    return _links_of_blocks(sets, large.filter(F.col("size") > _full()), join)
+
+
+def _sized(clusters: DataFrame) -> DataFrame:
+    """(node, label, size): the clusters with their sizes."""
+    sizes = clusters.groupBy(F.col("label").alias("_l")).agg(F.count(F.lit(1)).alias("size"))
+    return clusters.join(sizes, F.col("label") == F.col("_l")).select("node", "label", "size")
+
+
+def _inner(sets: DataFrame) -> DataFrame:
+    return sets.select(
         F.xxhash64("label", _block(F.col("fp"), F.col("size"))).alias("cell"), F.lit(0).alias("side"), "fp", "elements")
-    links = stage(_compare(inner, join), "join-links")
-    large = sets.filter(F.col("size") > BLOCK * 0.75)
-    if large.isEmpty():
-        return links
-    # What the blocks' own links leave outside a cluster's largest component meets all other blocks.
+
+
+def _links_of_blocks(sets: DataFrame, large: DataFrame, join: Join) -> DataFrame:
+    """Links within clusters, of which ``large`` have several blocks."""
+    large = stage(large.dropDuplicates(["fp"]), "join-large", TEXT_ROWS)
+    # Some sets meet all blocks, so that the copies of one text are one component over all of them.
+    last = F.greatest(F.ceil(F.col("size") / _full()), F.lit(1)) - 1
+    hubs = large.filter(F.pmod(F.xxhash64(F.col("fp"), F.lit("hub")), F.col("size")) < HUBS).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), last))).filter(F.col("block") != _block(F.col("fp"), F.col("size")))
+    hubs = hubs.select(F.xxhash64("label", "block").alias("cell"), F.lit(1).alias("side"), "fp", "elements")
+    links = stage(_compare(_inner(sets).unionByName(hubs), join), "join-links", TEXT_ROWS)
+    # What these links leave outside a cluster's largest component meets all other blocks.
     known = components(links).withColumnRenamed("label", "group")
     state = large.select("fp", "label", "size").join(known, F.col("fp") == F.col("node"), "left").withColumn(
         "group", F.coalesce("group", "fp"))
@@ -374,8 +518,8 @@ def _links(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, clusters:
     grown = state.join(rests, F.col("label") == F.col("_l")).select(
         F.col("fp").alias("_f"), "rest", _block(F.col("fp"), F.col("size")).alias("block"),
         _block(F.col("fp"), F.col("n_rest")).alias("rest_block"),
-        F.greatest(F.ceil(F.col("size") / (BLOCK * 0.75)), F.lit(1)).alias("blocks"),
-        F.greatest(F.ceil(F.col("n_rest") / (BLOCK * 0.75)), F.lit(1)).alias("rest_blocks"))
+        F.greatest(F.ceil(F.col("size") / _full()), F.lit(1)).alias("blocks"),
+        F.greatest(F.ceil(F.col("n_rest") / _full()), F.lit(1)).alias("rest_blocks"))
     both = large.join(grown, F.col("fp") == F.col("_f"))
     left = both.filter("rest").select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"), F.col("rest_block").alias("i"),
@@ -384,7 +528,7 @@ def _links(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, clusters:
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") - 1)).alias("i"), F.col("block").alias("j"),
         "label", F.lit(1).alias("side"), "fp", "elements")
     outer = left.unionByName(right).withColumn("cell", F.xxhash64("label", "i", "j"))
-    return stage(links.unionAll(_compare(outer, join)), "join-links")
+    return stage(links.unionAll(_compare(outer, join)), "join-links", TEXT_ROWS)
 
 
 def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
