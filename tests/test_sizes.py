@@ -1,5 +1,8 @@
 """What queries write, shuffle and hold: bounds that larger tables need."""
 
+import os
+import tempfile
+
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 
@@ -82,6 +85,41 @@ def test_rows_are_binned_without_a_shuffle(spark, monkeypatch):
     assert [t.packed() for t in dealt[0]] == [t.packed() for t in dealt[1]]
 
 
+def test_forest_of_a_mapped_file_is_that_of_the_broadcast_table(spark, monkeypatch, tmp_path):
+    """Of more rows than are broadcast, the executor's tasks share a file; the trees are the same and it is removed."""
+    assert Forest().getOrDefault("oneTableRows") >= 60 * 600_000 * 0.85
+    monkeypatch.setattr(forest, "EXACT_EDGES", 10)
+    rows = spark.range(900).selectExpr("cast(id % 3 as double) as label", "array(double(id % 7), double(id), double(id % 11)) as x").select(
+        "label", array_to_vector("x").alias("features")).repartition(5)
+    first, named, removed = Forest(numTrees=4).fit(rows), [], forest.unmapped
+    monkeypatch.setattr(forest, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(forest, "unmapped", lambda spark, name: named.append(name) or removed(spark, name))
+    for bins in (32, 200):
+        plain = first if bins == 32 else None
+        model = Forest(numTrees=4, maxBins=bins).fit(rows)
+        if plain:
+            assert [t.packed() for t in model.trees] == [t.packed() for t in plain.trees]
+        assert all(t.counts[0].sum() == 900 for t in model.trees)
+    assert len(named) == 2 and not [p for p in os.listdir(tempfile.gettempdir()) if p.startswith(tuple(named))]
+
+
+def test_nodes_and_stored_trees(spark, tmp_path):
+    rows = spark.range(300).selectExpr("cast(id % 3 as double) as label", "array(double(id % 7), double(id % 50)) as x").select(
+        "label", array_to_vector("x").alias("features"))
+    model = Forest(numTrees=3).fit(rows)
+    nodes = model.node_table(spark).orderBy("tree", "node").collect()
+    assert [tuple(r) for r in nodes] == [(i, n, f, c, a, b, k) for i, t in enumerate(model.trees) for n, (f, c, a, b, k) in enumerate(
+        zip(t.feature.tolist(), t.threshold.tolist(), t.left.tolist(), t.right.tolist(), t.counts.sum(axis=1).tolist()))]
+    # Models that were stored before trees were compressed are read as they are.
+    literal_table(spark, [(i, t.packed()) for i, t in enumerate(model.trees)], "tree int, nodes binary").write.parquet(str(tmp_path / "old/trees"))
+    model.save_tables(spark, str(tmp_path / "new"))
+    for name in ("old", "new"):
+        other = forest.ForestModel()
+        other.classes = model.classes
+        other.load_tables(spark, str(tmp_path / name))
+        assert [t.packed() for t in other.trees] == [t.packed() for t in model.trees]
+
+
 def test_vectors_are_unpacked_once_per_row(spark, sf):
     for name in ("scaled_inputs", "fixed_tree_proba"):
         assert plan(QUERIES[name](spark, sf)).count("UDF(") <= 4
