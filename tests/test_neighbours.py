@@ -79,3 +79,25 @@ def test_vote_does_not_depend_on_the_order_of_rows(spark):
     votes = [sorted((tuple(r.features), r.prediction) for r in knn.KnnClassifier(k=5).fit(d).transform(df).collect())
              for d in (df, df.repartition(5), df.orderBy("label"))]
     assert votes[0] == votes[1] == votes[2]
+
+
+def test_blocks_do_not_multiply_the_queries(spark, monkeypatch):
+    """What is dealt to tasks does not grow with the blocks of a cell: rows are sent once per group of queries."""
+    rng = np.random.default_rng(5)
+    points = literal_table(spark, [(i, p, float(i % 3)) for i, p in enumerate(rng.normal(size=(700, 4)).tolist())], "id long, x array<double>, label double")
+    dealt, plain_deal, frame = [], type(points).repartition, type(points)
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: dealt.append(self.count()) or plain_deal(self, *a))
+    results, totals = [], []
+    for block_rows in (700, 4):
+        dealt.clear()
+        found = knn.neighbours(points.select("id", "x"), points, 5, leave_one_out=True, block_rows=block_rows)
+        results.append(sorted(map(tuple, found.collect())))
+        totals.append(sum(dealt))
+    assert results[0] == results[1] and totals[0] == totals[1]
+
+
+def test_groups_are_of_near_cells_and_bounded(monkeypatch):
+    monkeypatch.setattr(knn, "PART_ROWS", 10)
+    groups = knn._groups([2, 0, 3, 1, 4], {0: 4, 1: 25, 2: 5, 4: 3}, 1)
+    assert groups == [(2, 0, 1), (0, 0, 1), (1, 1, 3), (4, 4, 1)]
+    assert knn._groups([], {}, 8) == []
